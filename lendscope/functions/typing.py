@@ -2,6 +2,10 @@
 
 RAW tables hold only text. Every rule here is total: text that does not fit the
 target type becomes NULL, it never raises, so one bad cell cannot stop a load.
+
+Each rule is SQL text over a column (`*_sql`), with a Column form beside it. Staging
+types some 350 columns; as text a table is one parsed projection instead of thousands
+of driver-to-JVM calls.
 """
 
 from __future__ import annotations
@@ -16,67 +20,108 @@ NO_DATE = 365243
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 
 
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def to_double(value: Column | str) -> Column:
+def to_double_sql(text: str) -> str:
     """Text to double. Java-only spellings ('12d', '1f', '0x1p3') are not numbers."""
-    col = _col(value)
-    lowered = F.lower(F.trim(col))
-    java_suffix = F.right(lowered, F.lit(1)).isin("d", "f") & ~lowered.isin("inf", "+inf", "-inf")
-    return F.when(~(java_suffix | F.contains(lowered, F.lit("x"))), col.try_cast("double"))
+    lowered = f"lower(trim({text}))"
+    java_suffix = (
+        f"right({lowered}, 1) in ('d', 'f') and {lowered} not in ('inf', '+inf', '-inf')"
+    )
+    return (
+        f"if({java_suffix} or contains({lowered}, 'x'), null, try_cast({text} as double))"
+    )
 
 
-def to_decimal(value: Column | str, precision: int = 18, scale: int = 4) -> Column:
+def to_decimal_sql(text: str, precision: int = 18, scale: int = 4) -> str:
     """Text to decimal, rounding half up to the scale."""
-    return _col(value).try_cast(f"decimal({precision},{scale})")
+    return f"try_cast({text} as decimal({precision},{scale}))"
 
 
-def to_bigint(value: Column | str) -> Column:
+def to_bigint_sql(text: str) -> str:
     """Text to bigint by way of double, so '12.0' is 12."""
-    return F.round(to_double(value), 0).try_cast("bigint")
+    return f"try_cast(round({to_double_sql(text)}, 0) as bigint)"
 
 
-def to_bool_01(value: Column | str) -> Column:
-    number = to_bigint(value)
-    return F.when(number == 1, F.lit(True)).when(number == 0, F.lit(False))
+def to_bool_01_sql(text: str) -> str:
+    return f"case {to_bigint_sql(text)} when 1 then true when 0 then false end"
 
 
-def to_bool_yn(value: Column | str) -> Column:
+def to_bool_yn_sql(text: str) -> str:
     """'Y' / 'N' exactly: no trimming, no case folding."""
-    col = _col(value)
-    return F.when(col == "Y", F.lit(True)).when(col == "N", F.lit(False))
+    return f"case {text} when 'Y' then true when 'N' then false end"
 
 
-def clean_text(value: Column | str) -> Column:
+def clean_text_sql(text: str) -> str:
     """Trim blanks; empty becomes NULL."""
-    return F.nullif(F.trim(_col(value)), F.lit(""))
+    return f"nullif(trim({text}), '')"
 
 
-def is_code(value: Column | str, code: str = NOT_AVAILABLE) -> Column:
+def is_code_sql(text: str, code: str = NOT_AVAILABLE) -> str:
     """Whether the trimmed text is the code. Never NULL."""
-    return F.coalesce(F.trim(_col(value)) == code, F.lit(False))
+    return f"coalesce(trim({text}) = '{code}', false)"
 
 
-def null_if_code(value: Column | str, code: str = NOT_AVAILABLE) -> Column:
-    return F.when(~is_code(value, code), clean_text(value))
+def null_if_code_sql(text: str, code: str = NOT_AVAILABLE) -> str:
+    return f"nullif({clean_text_sql(text)}, '{code}')"
 
 
-def is_sentinel(value: Column | str, sentinel: int = NO_DATE) -> Column:
+def is_sentinel_sql(text: str, sentinel: int = NO_DATE) -> str:
     """Whether the number is the placeholder. Never NULL."""
-    return F.coalesce(to_bigint(value) == sentinel, F.lit(False))
+    return f"coalesce({to_bigint_sql(text)} = {sentinel}, false)"
 
 
-def null_if_sentinel(value: Column | str, sentinel: int = NO_DATE) -> Column:
-    return F.nullif(to_bigint(value), F.lit(sentinel).cast("bigint"))
+def null_if_sentinel_sql(text: str, sentinel: int = NO_DATE) -> str:
+    return f"nullif({to_bigint_sql(text)}, {sentinel}L)"
 
 
-def surrogate_key(*values: Column | str) -> Column:
+def surrogate_key_sql(*values: str) -> str:
     """md5 over the '-'-joined text of the parts.
 
     concat_ws alone would skip NULL parts and let ('a', NULL) collide with
     (NULL, 'a'), hence the placeholder.
     """
-    parts = [F.coalesce(_col(v).cast("string"), F.lit(NULL_KEY_PART)) for v in values]
-    return F.md5(F.concat_ws("-", *parts))
+    parts = ", ".join(f"coalesce(cast({v} as string), '{NULL_KEY_PART}')" for v in values)
+    return f"md5(concat_ws('-', {parts}))"
+
+
+def to_double(text: str) -> Column:
+    return F.expr(to_double_sql(text))
+
+
+def to_decimal(text: str, precision: int = 18, scale: int = 4) -> Column:
+    return F.expr(to_decimal_sql(text, precision, scale))
+
+
+def to_bigint(text: str) -> Column:
+    return F.expr(to_bigint_sql(text))
+
+
+def to_bool_01(text: str) -> Column:
+    return F.expr(to_bool_01_sql(text))
+
+
+def to_bool_yn(text: str) -> Column:
+    return F.expr(to_bool_yn_sql(text))
+
+
+def clean_text(text: str) -> Column:
+    return F.expr(clean_text_sql(text))
+
+
+def is_code(text: str, code: str = NOT_AVAILABLE) -> Column:
+    return F.expr(is_code_sql(text, code))
+
+
+def null_if_code(text: str, code: str = NOT_AVAILABLE) -> Column:
+    return F.expr(null_if_code_sql(text, code))
+
+
+def is_sentinel(text: str, sentinel: int = NO_DATE) -> Column:
+    return F.expr(is_sentinel_sql(text, sentinel))
+
+
+def null_if_sentinel(text: str, sentinel: int = NO_DATE) -> Column:
+    return F.expr(null_if_sentinel_sql(text, sentinel))
+
+
+def surrogate_key(*values: str) -> Column:
+    return F.expr(surrogate_key_sql(*values))

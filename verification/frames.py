@@ -21,11 +21,18 @@ class Frames:
         self.spark = spark
         self.sf_dir = sf_dir
 
+        self._sources: dict[str, DataFrame] = {}
+
     def source(self, name: str) -> DataFrame:
-        return mapping.source(self.spark, self.sf_dir, name)
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
     def raw(self, name: str) -> DataFrame:
-        return mapping.raw_table(self.spark, self.sf_dir, name)
+        """RAW-shaped table; reads only the test tables it is derived from."""
+        for table in mapping.DERIVED_FROM[name]:
+            self.source(table).createOrReplaceTempView(table)
+        return self.spark.sql(mapping.raw_sql(mapping.SPARK)[name])
 
     def stg(self, name: str) -> DataFrame:
         return stage(self.raw(name), name)
@@ -116,27 +123,22 @@ class Frames:
     def status_history(self) -> DataFrame:
         return scd2.scd2_backfill(self.pos, BACKFILL_START, BACKFILL_END)
 
-    def tables(self) -> dict[str, DataFrame]:
-        """Every table the declared checks name."""
-        return {
-            "stg_application_train": self.train,
-            "stg_application_test": self.test,
-            "stg_bureau": self.bureau,
-            "stg_bureau_balance": self.stg("bureau_balance"),
-            "stg_credit_card_balance": self.card_balances,
-            "stg_installments_payments": self.payments,
-            "stg_pos_cash_balance": self.pos,
-            "stg_previous_application": self.previous,
-            "int_installment_schedule": self.schedule,
-            "int_loan_payment_performance": self.performance,
-            "int_pos_cash_loan": self.pos_loans,
-            "int_credit_card_loan": self.cards,
-            "int_bureau_client": self.bureau_clients,
-            "int_client_credit_history": self.history,
-            "dim_client": self.dim_client,
-            "fct_loans": self.fct_loans,
-            "fct_installments": self.fct_installments,
-            "mart_credit_risk": self.segments,
-            "mart_vintage_curves": self.vintage,
-            "snp_loan_status": self.status_history,
-        }
+    def tables(self, names) -> dict[str, DataFrame]:
+        """The named tables, as the declared checks name them."""
+        return {name: self._table(name) for name in names}
+
+    def _table(self, name: str) -> DataFrame:
+        if name.startswith("stg_"):
+            return self.stg(name.removeprefix("stg_"))
+        attribute = {
+            "int_installment_schedule": "schedule",
+            "int_loan_payment_performance": "performance",
+            "int_pos_cash_loan": "pos_loans",
+            "int_credit_card_loan": "cards",
+            "int_bureau_client": "bureau_clients",
+            "int_client_credit_history": "history",
+            "mart_credit_risk": "segments",
+            "mart_vintage_curves": "vintage",
+            "snp_loan_status": "status_history",
+        }.get(name, name)
+        return getattr(self, attribute)

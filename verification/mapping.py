@@ -7,8 +7,6 @@ produce the same text. Days count from 2002-01-01 and are negative.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 from lendscope.plans import rules
 from lendscope.sources.registry import DOUBLE, FLAG_01, TABLES_BY_NAME
 
@@ -16,7 +14,6 @@ SPARK, DUCKDB = "spark", "duckdb"
 ANCHOR = "2002-01-01"
 CARD_ANCHOR = "2024-01-31"
 POS_WINDOW_START = -84
-SOURCES = ("customer", "orders", "lineitem", "events")
 
 EARLY_LOAD = "timestamp '2024-01-01 00:00:00'"
 LATE_LOAD = "timestamp '2024-01-02 00:00:00'"
@@ -281,7 +278,7 @@ def raw_sql(dialect: str) -> dict[str, str]:
         f"from events group by user_id, {period}) as d"
     )
     is_test = "c_custkey % 6 = 5"
-    payment_load = f"case when l_orderkey % 4 = 0 then {LATE_LOAD} else {EARLY_LOAD} end"
+    payment_load = f"case when l_partkey % 10 = 0 then {LATE_LOAD} else {EARLY_LOAD} end"
     return {
         "application_train": _select(
             _application(True), f"customer where not ({is_test})", "application_train.csv", EARLY_LOAD
@@ -308,13 +305,41 @@ def raw_sql(dialect: str) -> dict[str, str]:
     }
 
 
-def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """RAW-shaped table; reads only the test tables it is derived from."""
-    sql = raw_sql(SPARK)[name]
-    for table in SOURCES:
-        source(spark, sf_dir, table).createOrReplaceTempView(table)
-    return spark.sql(sql)
+# Test tables each RAW table is derived from.
+DERIVED_FROM = {
+    "application_train": ("customer",),
+    "application_test": ("customer",),
+    "previous_application": ("orders",),
+    "installments_payments": ("lineitem", "orders"),
+    "pos_cash_balance": ("lineitem", "orders"),
+    "credit_card_balance": ("events",),
+    "bureau": ("orders",),
+    "bureau_balance": ("events",),
+}
+
+
+# Text as careless sources deliver it, over every order.
+MESSY = """
+select o_orderkey, case o_orderkey % 20
+    when 0 then cast(o_orderkey as string)
+    when 1 then cast(o_orderkey as string) || '.0'
+    when 2 then ' ' || cast(o_orderkey as string) || ' '
+    when 3 then 'abc'
+    when 4 then ''
+    when 5 then null
+    when 6 then cast(o_orderkey as string) || '.5'
+    when 7 then '1.5e' || cast(o_orderkey % 7 as string)
+    when 8 then '365243.0'
+    when 9 then ' XNA '
+    when 10 then 'XAP'
+    when 11 then 'Y'
+    when 12 then 'N'
+    when 13 then '   '
+    when 14 then cast(o_orderkey as string) || 'd'
+    when 15 then '-' || cast(o_orderkey as string) || '.123456'
+    when 16 then '0x1p3'
+    when 17 then cast(o_orderkey % 2 as string)
+    when 18 then 'inf'
+    else ' y ' end as messy
+from orders
+"""
