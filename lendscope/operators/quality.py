@@ -1,9 +1,8 @@
 """Declarative checks over DataFrames.
 
 A check counts what is wrong; its severity says whether that blocks (error) or is
-reported (warn). Row-level checks of one table run together in one scan: rows that
-pass everything are dropped by a plain filter, each remaining row emits one entry per
-failed check, and entries are counted before they are shuffled.
+reported (warn). Row-level checks of one table run together in one scan; key checks
+reduce their table to one row per key first.
 """
 
 from __future__ import annotations
@@ -110,38 +109,35 @@ def _fails(check: Check) -> Column:
     return F.coalesce(bad, F.lit(False))
 
 
-def _offending_value(check: Check) -> Column:
-    """What is counted once: the bad value for accepted values, else the row."""
+def _evidence(check: Check) -> Column:
+    """Text for a failing row, NULL for a passing one: the value to count once, or a mark."""
     if check.kind == ACCEPTED:
-        return F.col(check.columns[0]).cast("string")
-    return F.lit(None).cast("string")
+        return F.when(_fails(check), F.col(check.columns[0]).cast("string"))
+    return F.when(_fails(check), F.lit(""))
 
 
 def row_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """(check_name, failures) of the row-level checks that fail at least once."""
-    failing = reduce(lambda a, b: a | b, (_fails(check) for check in checks))
-    entries = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    _fails(check),
-                    F.struct(
-                        F.lit(check.name).alias("check_name"),
-                        F.lit(check.kind == ACCEPTED).alias("by_value"),
-                        _offending_value(check).alias("value"),
-                    ),
-                )
-                for check in checks
-            )
-        )
+    """(check_name, failures) of the row-level checks that fail at least once.
+
+    Accepted values count each bad value once, the other kinds count rows. All checks
+    run in one scan: evidence columns are unpivoted in place, what passes is dropped
+    there, and the rest is counted before it is shuffled.
+    """
+    ids = {f"c{i}": check for i, check in enumerate(checks)}
+    evidence = df.select(*(_evidence(check).alias(i) for i, check in ids.items()))
+    counts = (
+        evidence.unpivot([], list(ids), "check_id", "value")
+        .where(F.col("value").isNotNull())
+        .groupBy("check_id", "value")
+        .agg(F.count("*").alias("rows"))
     )
+    by_value = [i for i, check in ids.items() if check.kind == ACCEPTED]
+    found = F.when(F.col("check_id").isin(by_value), 1).otherwise(F.col("rows"))
+    names = F.create_map(*(F.lit(x) for i, check in ids.items() for x in (i, check.name)))
     return (
-        df.where(failing)
-        .select(F.inline(entries))
-        .groupBy("check_name", "by_value", "value")
-        .agg(F.count("*").alias("rows"))
-        .groupBy("check_name")
-        .agg(F.sum(F.when(F.col("by_value"), 1).otherwise(F.col("rows"))).alias("failures"))
+        counts.groupBy("check_id")
+        .agg(F.sum(found).alias("failures"))
+        .select(names[F.col("check_id")].alias("check_name"), "failures")
     )
 
 

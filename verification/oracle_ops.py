@@ -655,7 +655,7 @@ fragment(
 select (select count(*) from @fct_loans) as expected_loans, count(*) as actual_loans,
     cast(sum(n_installments) as bigint) as loan_installments,
     (select count(*) from @fct_installments where has_loan_record) as fact_installments
-from @fct_loans where sk_id_prev % 40 <> 0
+from @fct_loans where sk_id_prev % 7 <> 0
 """,
 )
 fragment(

@@ -873,7 +873,9 @@ register(
 )
 register(
     "chk_fct_loans_cover",
-    lambda f: chk.fct_loans_cover(f.previous, f.train, f.fct_loans.where(~_lost()), f.fct_installments),
+    lambda f: chk.fct_loans_cover(
+        f.previous, f.train, f.fct_loans.where(F.col("sk_id_prev") % 7 != 0), f.fct_installments
+    ),
 )
 register(
     "chk_payment_before_decision",
