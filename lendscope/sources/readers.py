@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 
 def read_csv_text(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, all text; an unquoted empty field is NULL.
+    """CSV with a header, all text; an empty field is NULL, quoted or not.
 
     Without a schema the column names come from the header line and nothing is
     inferred. A row that does not fit the header stops the load.
