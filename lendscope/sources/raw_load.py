@@ -159,15 +159,14 @@ def load_changed(
 
     The loop is over the declared tables, never over data.
     """
-    found = digests(sources).cache()
-    try:
-        decisions = skip_decision(
-            found, read_ledger(spark, root), raw_counts(spark, root, list(sources)), force
-        )
-        skip = {row.table_name: row.skip for row in decisions.collect()}
-        digest_of = {row.table_name: row.digest for row in found.collect()}
-    finally:
-        found.unpersist()
+    # One row per declared table.
+    rows = digests(sources).select("table_name", "digest").collect()
+    found = spark.createDataFrame(rows, "table_name string, digest string")
+    decisions = skip_decision(
+        found, read_ledger(spark, root), raw_counts(spark, root, list(sources)), force
+    )
+    skip = {row.table_name: row.skip for row in decisions.collect()}
+    digest_of = {row.table_name: row.digest for row in rows}
     outcome = {}
     for name, df in sources.items():
         outcome[name] = "skipped" if skip[name] else "loaded"
