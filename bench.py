@@ -48,6 +48,7 @@ def main() -> None:
         began = time.perf_counter()
         REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - began, 3)
+        print(f"{name} {seconds[name]}s", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
