@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 # rows meet unreduced; adaptive execution splits such a key, also when that costs a
 # further exchange.
 # Generated methods above HotSpot's limit would run uncompiled; below it they are split.
-SETTINGS = {
+# All of these can also be set in a session that is already running.
+RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -18,6 +19,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
 }
+SETTINGS = RUNTIME_SETTINGS
 
 
 def build_session(
