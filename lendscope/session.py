@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pathlib
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # A row-level lookup against a one-row-per-key table is the only place where one key's
@@ -37,3 +40,20 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once for each application.
+
+    A no-op for jobs without Python code on the executors, who need not call it.
+    """
+    context = spark.sparkContext
+    name = f"lendscope-{context.applicationId}.zip"
+    if any(path.endswith(name) for path in context._python_includes):
+        return
+    package = pathlib.Path(__file__).parent
+    archive = pathlib.Path(context._temp_dir, name)
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
