@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lendscope.session import ship_package
 from lendscope.sources.scratch import scratch_folder
 
 #: Rows of one Arrow batch. Texts may be long, so batches stay far below Spark's default.
@@ -32,9 +33,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Keep Arrow batches of whole texts small, and let the workers import this package."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def running_bases(totals: DataFrame, part: str, sums: dict[str, str], by: list[str] | None = None) -> DataFrame:

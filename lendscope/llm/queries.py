@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import (
     chat,
+    lattice,
     packing,
+    quality,
     sharding,
     token_counts,
     token_files,
@@ -39,6 +41,36 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(measured)
 
 
+@_query
+def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+ORACLE["op4_lattice_dedup"] = """
+with recursive usable as (
+  select vec_id, label, cast(embedding as double[]) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+    and len([x for x in embedding if x <> 0]) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b
+  from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(a, b) as (
+  select a, b from links
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a
+), least_of as (select a, min(b) as m from reach group by a),
+counted as (select a, count(*) as n from links group by a)
+select e.vec_id,
+  coalesce(c.n, 0) as n_links,
+  coalesce(least(e.vec_id, r.m), e.vec_id) as component_id,
+  e.vec_id = coalesce(least(e.vec_id, r.m), e.vec_id) as kept
+from embeddings e left join counted c on c.a = e.vec_id left join least_of r on r.a = e.vec_id
+"""
+
+
 @_query
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -92,6 +124,19 @@ group by conv_id
 """
 
 
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit(documents, table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return quality.score(documents, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-files")

@@ -43,11 +43,10 @@ def by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     )
     # One row for each partition, so the broadcast is bounded by their number.
     bases = running_bases(totals, "part", {"byte_base": "bytes", "row_base": "rows"})
-    everything = totals.agg(F.sum("bytes").alias("all_bytes"))
+    all_bytes = totals.agg(F.sum("bytes")).first()[0] or 1
     inside = Window.partitionBy("part").orderBy(*key)
     placed = (
         laid.join(F.broadcast(bases), "part")
-        .crossJoin(F.broadcast(everything))
         .select(
             *key,
             (
@@ -55,14 +54,12 @@ def by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
                 - F.col("size")
             ).alias("offset"),
             (F.col("row_base") + F.row_number().over(inside) - 1).alias("row"),
-            "all_bytes",
         )
         # Twice the middle of the document, so that halves stay integers.
         .withColumn(
             "shard",
-            F.expr(f"cast((2 * offset + size) * {int(shards)} div (2 * all_bytes) as int)"),
+            F.expr(f"cast((2 * offset + size) * {int(shards)} div {2 * all_bytes} as int)"),
         )
-        .drop("all_bytes")
     )
     placed = saved(placed, "shards")
     # As many rows as there are shards.

@@ -64,9 +64,7 @@ def context_table(counts: DataFrame) -> DataFrame:
         F.coalesce(F.sum("block_docs").over(later), F.lit(0)).alias("docs_base"),
         F.coalesce(F.sum("block_tokens").over(later), F.lit(0)).alias("tokens_base"),
     )
-    totals = blocks.agg(
-        F.sum("block_docs").alias("total_docs"), F.sum("block_tokens").alias("total_tokens")
-    )
+    total_docs, total_tokens = blocks.agg(F.sum("block_docs"), F.sum("block_tokens")).first()
     inside = (
         Window.partitionBy("block")
         .orderBy(F.desc("length"))
@@ -74,14 +72,13 @@ def context_table(counts: DataFrame) -> DataFrame:
     )
     return (
         counts.join(bases, "block")
-        .crossJoin(F.broadcast(totals))
         .select(
             "length",
             "n_docs",
             (F.sum("n_docs").over(inside) + F.col("docs_base")).alias("docs_at_least"),
             (F.sum("n_tokens").over(inside) + F.col("tokens_base")).alias("tokens_at_least"),
-            "total_docs",
-            "total_tokens",
+            F.lit(total_docs).cast("long").alias("total_docs"),
+            F.lit(total_tokens).cast("long").alias("total_tokens"),
         )
         .select(
             "*",
@@ -106,15 +103,14 @@ def at_limits(contexts: DataFrame, limits: list[int]) -> DataFrame:
             F.struct("docs_at_least", "tokens_at_least", "total_tokens"), "length"
         ).alias("next")
     )
-    total = contexts.agg(F.max("total_tokens").alias("all_tokens"))
+    all_tokens = contexts.agg(F.max("total_tokens")).first()[0] or 0
     return (
         wanted.join(found, "limit", "left")
-        .crossJoin(F.broadcast(total))
         .select(
             "limit",
             F.coalesce("next.docs_at_least", F.lit(0)).alias("docs_over"),
             (
-                F.coalesce("all_tokens", F.lit(0))
+                F.lit(all_tokens)
                 - F.coalesce("next.tokens_at_least", F.lit(0))
                 + F.coalesce("next.docs_at_least", F.lit(0)) * F.col("limit")
             ).alias("tokens_truncated"),
