@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import (
     chat,
+    decontaminate,
     lattice,
     packing,
     quality,
@@ -41,6 +42,13 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(measured)
 
 
+@_query
+def op2_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @_query
 def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
