@@ -11,6 +11,7 @@ from lendscope.llm import (
     chat,
     decontaminate,
     lattice,
+    ngram_join,
     packing,
     quality,
     sharding,
@@ -49,6 +50,42 @@ def op2_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+ORACLE["op3_jaccard_join"] = r"""
+with recursive given as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, unnest(
+    case when len(w) = 0 then []
+         when len(w) < 4 then [array_to_string(w, ' ')]
+         else [array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)] end) as s
+  from given
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+  group by 1, 2
+), links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 85 * (x.n + y.n - c)
+), sides as (select a, b from links union all select b, a from links),
+reach(a, b) as (
+  select a, b from sides
+  union
+  select r.a, l.b from reach r join sides l on r.b = l.a
+), least_of as (select a, min(b) as m from reach group by a)
+select g.doc_id, coalesce(n, 0) as n_shingles, coalesce(least(g.doc_id, m), g.doc_id) as component_id
+from given g left join sizes s on s.doc_id = g.doc_id left join least_of r on r.a = g.doc_id
+"""
+
+
 @_query
 def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
