@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lendscope.session import ship_package
 from lendscope.sources.scratch import scratch_folder
 
-#: Rows of one Arrow batch. Texts may be long, so batches stay far below Spark's default.
-BATCH_ROWS = 500
+#: Rows up to which a table of ids or keys is broadcast.
+BROADCAST_ROWS = 1_000_000
+#: Rows and bytes of one Arrow batch; texts may be long.
+BATCH_ROWS, BATCH_BYTES = 4_000, 16 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,12 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_table(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A saved table of ids or keys, broadcast if it is small; beyond that, joins with it
+    shuffle both sides."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over at least as many tasks as there are cores; a table of one row group
     would otherwise be one task."""
@@ -37,6 +45,7 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keep Arrow batches of whole texts small, and let the workers import this package."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def running_bases(totals: DataFrame, part: str, sums: dict[str, str], by: list[str] | None = None) -> DataFrame:

@@ -13,14 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import saved
+from lendscope.llm.common import saved, small_table
 
 #: Words of a window; items with fewer words are one window, down to the shortest that counts.
 WINDOW, SHORTEST = 8, 4
 #: Share of an item's windows that a document must hold, and of slots that may conflict.
 COVERAGE, CONFLICTS = 0.5, 0.2
-#: Rows up to which a small side is broadcast; beyond it the join shuffles both sides.
-BROADCAST_ROWS = 1_000_000
 
 NUMBER, NAME, UNIT = "<n>", "<p>", "<u>"
 UNITS = (
@@ -60,11 +58,6 @@ def _windows(hashes: Column, length: int) -> Column:
     )
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Broadcast a side that is small; `df` is a saved table, so counting it is cheap."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """item_id, length, place, hash, n_windows of the windows that say enough: at least half
     of their words are no placeholders."""
@@ -134,7 +127,7 @@ def find_leaks(
         every = every.unionAll(more)
     met = saved(
         every.withColumnsRenamed({"pos": "at", "col": "hash"})
-        .join(_few(items), ["length", "hash"])
+        .join(small_table(items), ["length", "hash"])
         .select("doc_id", "item_id", "n_windows", "length", "place", (F.col("at") + 1).alias("at")),
         "leaks",
     )
@@ -152,7 +145,7 @@ def find_leaks(
         "leaks",
     )
     ids = saved(aligned.select("doc_id").distinct(), "leaks")
-    texts = usable.join(_few(ids), "doc_id", "left_semi").select(
+    texts = usable.join(small_table(ids), "doc_id", "left_semi").select(
         "doc_id", words(F.col("text")).alias("doc_words")
     )
     item_texts = benchmark.where(F.col(item_text_col).isNotNull()).select(
@@ -218,4 +211,5 @@ def _value(word: Column) -> Column:
 def drop_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of `docs` that hold no leak, with all their columns; rows without id stay."""
     ids = saved(leaks.select(F.col("doc_id").alias("_leaked")).distinct(), "leaks")
-    return docs.join(_few(ids), docs[id_col] == F.col("_leaked"), "left_anti")
+    ids = small_table(ids)
+    return docs.join(ids, docs[id_col] == ids["_leaked"], "left_anti")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import saved, small_batches, spread
+from lendscope.llm.common import saved, small_batches, small_table, spread
 from lendscope.llm.components import components
 from lendscope.llm.word_ids import slices
 
@@ -42,8 +42,6 @@ WIDER = 1.7
 #: Sizes among which the boundary is sought, and cost of writing a subset key against
 #: reading one line of an inverted list.
 SIZES, KEY_COST = 512, 2.0
-#: Documents up to which a list of ids is broadcast.
-BROADCAST_ROWS = 1_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -134,10 +132,9 @@ def _whole_sets(docs: DataFrame, id_col: str, text_col: str, words: int, owners:
                     names=["node", "shingles"],
                 )
 
-    few = F.broadcast(owners) if owners.count() <= BROADCAST_ROWS else owners
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("words"))
     return (
-        rows.join(few, "doc_id")
+        rows.join(small_table(owners), "doc_id")
         .select("node", F.col("words").cast("string").alias("words"))
         .mapInArrow(sets, "node long, shingles array<long>")
     )

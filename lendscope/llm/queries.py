@@ -11,6 +11,7 @@ from lendscope.llm import (
     chat,
     decontaminate,
     lattice,
+    licenses,
     ngram_join,
     packing,
     quality,
@@ -169,6 +170,14 @@ group by conv_id
 """
 
 
+@_query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    # The table has no paths: source and language are the directories of a document.
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(documents, "doc_id", "text", path)
+
+
 @_query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
