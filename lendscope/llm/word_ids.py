@@ -2,27 +2,37 @@
 
 Such a tokenizer never joins what stands on both sides of a blank, so the ids of a text are
 those of its words in a row. Words repeat; each is encoded once and looked up afterwards.
-The memo is bounded: beyond half its limit the younger half replaces the older one.
+The memo is bounded: beyond its limit it starts anew.
 """
 
 from __future__ import annotations
 
 import itertools
 import os
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterator
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words held in memory by one Python worker, and the longest word that is held.
-MEMO_WORDS, MEMO_CHARS = 600_000, 64
+#: Words held in memory by one Python worker.
+MEMO_WORDS = 1_500_000
 #: Characters of text handled at once.
 SLICE_CHARS = 4_000_000
 
 
+#: Latin letters, then signs that no letter or digit pattern of a tokenizer takes in.
+_LETTERS_SIGNS = re.compile(
+    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!\"#$%&()*+,\-./:;=?@\[\]^_`{|}~]*)"
+).fullmatch
+
+
 class WordEncoder:
-    """Exact ids by the `tokenizers` library, with a bounded memo of words."""
+    """Exact ids by the `tokenizers` library, with a bounded memo of words.
+
+    The memo gives the number of a word; `starts`, `sizes` and `flat` hold the ids by number.
+    """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         from tokenizers import Tokenizer
@@ -31,75 +41,93 @@ class WordEncoder:
         # A special token between two words keeps their ids apart in one call.
         self.mark_id, mark = min(self.tokenizer.get_added_tokens_decoder().items())
         self.mark = mark.content
-        self.half = max(1, memo_words // 2)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.memo_words = memo_words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {"": 0}
+        self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.flat = np.zeros(0, "<u4")
 
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
+    def _call(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, from the library."""
         found = {}
         plain = [w for w in words if self.mark not in w]
         for start in range(0, len(plain), 20_000):
             some = plain[start : start + 20_000]
-            ids = np.array(
-                self.tokenizer.encode(self.mark.join(some), add_special_tokens=False).ids,
-                dtype="<u4",
-            )
-            cuts = np.flatnonzero(ids == self.mark_id)
+            joined = self.tokenizer.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)
+            ids = np.array(joined[0].ids, dtype="<u4")
+            cuts = 4 * np.flatnonzero(ids == self.mark_id)
             raw = ids.tobytes()
-            begins = [0, *(4 * (cuts + 1)).tolist()]
-            ends = [*(4 * cuts).tolist(), len(raw)]
-            found.update(zip(some, (raw[b:e] for b, e in zip(begins, ends)), strict=True))
+            begins, ends = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)]
+            found.update(zip(some, [raw[b:e] for b, e in zip(begins, ends)], strict=True))
         for word in words:
             if self.mark in word:
                 ids = self.tokenizer.encode(word, add_special_tokens=False).ids
                 found[word] = np.array(ids, dtype="<u4").tobytes()
         return found
 
-    def _ids_of(self, words: Iterable[str]) -> list[bytes]:
-        """Ids of each distinct word, as little-endian 32-bit integers."""
-        words = list(words)
-        young, old = self.young, self.old
-        values = [young.get(w) for w in words]
-        for i, (word, value) in enumerate(zip(words, values)):
-            if value is None and (value := old.get(word)) is not None:
-                values[i] = young[word] = value
-        missing = [w for w, value in zip(words, values) if value is None]
-        new = self._encode(missing) if missing else {}
-        young.update((w, v) for w, v in new.items() if len(w) <= MEMO_CHARS)
-        values = [new[w] if value is None else value for w, value in zip(words, values)]
-        if len(young) > self.half:
-            self.old, self.young = young, {}
-        return values
-
-    def _words(self, texts: list[str]):
+    def _add(self, entries: dict[str, bytes]) -> None:
+        sizes = np.fromiter(map(len, entries.values()), np.int64, len(entries)) // 4
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.memo.update(zip(entries, range(len(self.sizes), len(self.sizes) + len(entries))))
+        self.starts = np.concatenate([self.starts, starts])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(entries.values()), "<u4")])
+
+    def _learn(self, words: set[str]) -> None:
+        """Take words into the memo.
+
+        A word of Latin letters and signs behind them has the ids of the letters, in lower
+        case, and then those of the signs: the tokenizer parts them there and lowers letters.
+        So a word needs no call if it was seen in another case or before another sign.
+        """
+        parted = {w: (m[1].lower(), m[2]) for w in words if (m := _LETTERS_SIGNS(w))}
+        parts = {p for pair in parted.values() for p in pair}
+        parts.update(w for w in words if w not in parted)
+        self._add(self._call([p for p in parts if p not in self.memo]))
+        starts, ends = self.starts, self.starts + self.sizes
+        raw, memo, made = self.flat.tobytes(), self.memo, {}
+        for word, (letters, signs) in parted.items():
+            if word not in memo:
+                a, b = memo[letters], memo[signs]
+                made[word] = raw[4 * starts[a] : 4 * ends[a]] + raw[4 * starts[b] : 4 * ends[b]]
+        if made:
+            self._add(made)
+
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words of the texts in a row, and where each text ends."""
+        if len(self.memo) > self.memo_words:
+            self._forget()
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        flat = list(itertools.chain.from_iterable(split))
-        place = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-        ids = self._ids_of(place)
-        index = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        ends = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
-        return ids, index, lengths, ends
+        words = list(itertools.chain.from_iterable(split))
+        numbers = np.fromiter(
+            map(self.memo.get, words, itertools.repeat(-1)), np.int64, len(words)
+        )
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing]
+            self._learn(set(unknown))
+            numbers[missing] = np.fromiter(map(self.memo.get, unknown), np.int64, len(unknown))
+        return numbers, np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Number of ids of each text."""
         if not texts:
             return np.zeros(0, np.int64)
-        _, index, lengths, ends = self._words(texts)
-        running = np.concatenate([[0], np.cumsum(lengths[index])])
+        numbers, ends = self._numbers(texts)
+        running = np.concatenate([[0], np.cumsum(self.sizes[numbers])])
         return np.diff(running[np.concatenate([[0], ends])])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
         if not texts:
             return np.zeros(0, "<u4"), np.zeros(0, np.int64)
-        ids, index, lengths, ends = self._words(texts)
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        begins = (np.cumsum(lengths) - lengths)[index]
-        sizes = lengths[index]
+        numbers, ends = self._numbers(texts)
+        sizes = self.sizes[numbers]
         running = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.arange(running[-1]) + np.repeat(begins - running[:-1], sizes)
-        return flat[at], np.diff(running[np.concatenate([[0], ends])])
+        at = np.arange(running[-1]) + np.repeat(self.starts[numbers] - running[:-1], sizes)
+        return self.flat[at], np.diff(running[np.concatenate([[0], ends])])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
