@@ -27,8 +27,9 @@ UNITS = (
     "minutes?|h|hours?|days?|weeks?|months?|years?|cents?|dollars?|euros?|usd|eur|gbp|"
     "percent|degrees?|mph|kmh|km/h|watts?|kw|kwh|volts?|hz|khz|mhz|bytes?|kb|mb|gb|tb"
 )
-# A capitalised word that follows another word of the same sentence and line.
-_NAME = r"(?<=[^.!?:\s\p{N}] )\p{Lu}[\p{L}'-]*"
+# A capitalised word that follows another word of the same sentence and line; words in
+# capitals throughout are no names, they are a way to shout.
+_NAME = r"(?<=[^.!?:\s\p{N}] )\p{Lu}\p{Ll}[\p{L}'-]*"
 _NUMBER = r"[-+]?[$€£]?\p{N}[\p{N}.,:/]*%?"
 _UNIT = rf"(?i)(?<=<n>\s)(?:{UNITS})(?![\p{{L}}\p{{N}}])"
 # Signs at the rim of a word; a word of signs only stays, so words keep their places.
