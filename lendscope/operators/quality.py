@@ -109,36 +109,48 @@ def _fails(check: Check) -> Column:
     return F.coalesce(bad, F.lit(False))
 
 
-def _evidence(check: Check) -> Column:
-    """Text for a failing row, NULL for a passing one: the value to count once, or a mark."""
-    if check.kind == ACCEPTED:
-        return F.when(_fails(check), F.col(check.columns[0]).cast("string"))
-    return F.when(_fails(check), F.lit(""))
+def _bad_values(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(check_name, failures): distinct values outside the allowed ones.
+
+    A row is repeated for the checks that it fails, and only for them.
+    """
+    found = (
+        F.when(
+            _fails(check),
+            F.struct(
+                F.lit(check.name).alias("check_name"),
+                F.col(check.columns[0]).cast("string").alias("value"),
+            ),
+        )
+        for check in checks
+    )
+    bad = df.select(F.inline(F.array_compact(F.array(*found)))).distinct()
+    return bad.groupBy("check_name").agg(F.count("*").alias("failures"))
+
+
+def _bad_rows(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(check_name, failures): rows that fail, counted in one aggregate without a copy of them."""
+    ids = {f"c{i}": check for i, check in enumerate(checks)}
+    counts = df.agg(*(F.count_if(_fails(check)).alias(i) for i, check in ids.items()))
+    rows = F.array(
+        *(
+            F.struct(F.lit(check.name).alias("check_name"), F.col(i).alias("failures"))
+            for i, check in ids.items()
+        )
+    )
+    return counts.select(F.inline(rows)).where(F.col("failures") > 0)
 
 
 def row_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
     """(check_name, failures) of the row-level checks that fail at least once.
 
-    Accepted values count each bad value once, the other kinds count rows. All checks
-    run in one scan: evidence columns are unpivoted in place, what passes is dropped
-    there, and the rest is counted before it is shuffled.
+    Accepted values count each bad value once, the other kinds count rows.
     """
-    ids = {f"c{i}": check for i, check in enumerate(checks)}
-    evidence = df.select(*(_evidence(check).alias(i) for i, check in ids.items()))
-    counts = (
-        evidence.unpivot([], list(ids), "check_id", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("check_id", "value")
-        .agg(F.count("*").alias("rows"))
-    )
-    by_value = [i for i, check in ids.items() if check.kind == ACCEPTED]
-    found = F.when(F.col("check_id").isin(by_value), 1).otherwise(F.col("rows"))
-    names = F.create_map(*(F.lit(x) for i, check in ids.items() for x in (i, check.name)))
-    return (
-        counts.groupBy("check_id")
-        .agg(F.sum(found).alias("failures"))
-        .select(names[F.col("check_id")].alias("check_name"), "failures")
-    )
+    by_value = [check for check in checks if check.kind == ACCEPTED]
+    by_row = [check for check in checks if check.kind != ACCEPTED]
+    parts = [_bad_values(df, by_value)] if by_value else []
+    parts += [_bad_rows(df, by_row)] if by_row else []
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------- key checks

@@ -7,7 +7,6 @@ validity columns hold months, and NULL `dbt_valid_to` marks the open version.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,40 +45,50 @@ def scd2_apply(
     check_cols: Sequence[str] = ("name_contract_status",),
     moment: Column | None = None,
 ) -> DataFrame:
-    """History after one batch of current rows (one per key).
-
-    A key whose checked columns differ (NULL counts as a value) has its open version
-    closed and a new one opened; a new key opens one; an unchanged or absent key keeps
-    its row as it is. Applying a batch twice changes nothing.
-
-    The two sides meet once, in an equi-join of at most one row each per key.
+    """History after a batch of rows, one for each key and moment, of one or several moments.
+
+    A row whose checked columns differ from the version before it (NULL counts as a value)
+    closes that version and opens one; the first row of a new key opens one; an unchanged or
+    absent key keeps its versions as they are. A row that says what the history says of its
+    moment is already seen, so applying a batch again changes nothing. A row that says
+    anything else of a moment the history has passed stops the job: versions are never
+    rewritten.
+
+    Versions and rows are brought in order once for each key (a key has at most one version
+    or row for each moment), and the history is read once, so plans grow by the same amount
+    with every load.
     """
     moment = F.col("as_of_month") if moment is None else moment
-    is_open = F.col(VALID_TO).isNull()
-    closed = history.where(~is_open)
-    current = history.where(is_open)
-
-    old = current.select(F.struct("*").alias("old"), F.col(key).alias("_key"))
     incoming = start_history(batch, key, moment)
-    new = incoming.select(F.struct(*history.columns).alias("new"), F.col(key).alias("_key"))
-    met = old.join(new, "_key", "full_outer")
-
-    same = reduce(
-        lambda a, b: a & b,
-        (F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check_cols),
+    both = history.withColumn("_new", F.lit(False)).unionByName(
+        incoming.select(*history.columns).withColumn("_new", F.lit(True))
     )
-    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
-    opens = has_new & (~has_old | ~same)
-    kept = F.when(
-        has_old,
-        F.col("old").withField(
-            VALID_TO, F.when(opens, F.col(f"new.{VALID_FROM}")).otherwise(F.col(f"old.{VALID_TO}"))
-        ),
+    checked = F.struct(*check_cols)
+    in_order = Window.partitionBy(key).orderBy(VALID_FROM, "_new", *check_cols)
+    of_key = Window.partitionBy(key)
+    known = F.max(F.when(~F.col("_new"), F.col(VALID_FROM))).over(of_key)
+    seen = both.select(
+        "*",
+        F.lag(checked).over(in_order).alias("_before"),
+        F.lag(VALID_FROM).over(in_order).alias("_since"),
+        known.alias("_known"),
     )
-    versions = met.select(
-        F.inline(F.array_compact(F.array(kept, F.when(opens, F.col("new")))))
+    differs = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(checked)
+    passed = F.coalesce(F.col("_known") >= F.col(VALID_FROM), F.lit(False)) | F.coalesce(
+        F.col("_since") == F.col(VALID_FROM), F.lit(False)
     )
-    return closed.unionByName(versions)
+    refused = F.raise_error(
+        F.concat(
+            F.lit("status history is past moment "),
+            F.col(VALID_FROM).cast("string"),
+            F.lit(f" of {key} "),
+            F.col(key).cast("string"),
+        )
+    ).cast("boolean")
+    opens = F.when(differs & passed, refused).otherwise(differs)
+    kept = seen.where(F.when(F.col("_new"), opens).otherwise(F.lit(True)))
+    closes = F.coalesce(VALID_TO, F.lead(VALID_FROM).over(in_order))
+    return kept.withColumn(VALID_TO, closes).select(*history.columns)
 
 
 def status_changes(pos: DataFrame, start: int, end: int) -> DataFrame:

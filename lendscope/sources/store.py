@@ -1,7 +1,7 @@
 """Versioned Parquet tables with an atomic switch.
 
     <root>/<table>/version-000007/...   complete, immutable once published
-    <root>/<table>/_CURRENT             one line: the published version
+    <root>/<table>/_CURRENT             one line: the published version, and a note to it
 
 A load writes a new version, counts it back, and only then renames the pointer into
 place. Readers resolve the pointer once, so they see the old table or the new one,
@@ -45,7 +45,7 @@ def _read_line(spark: SparkSession, path: str) -> str | None:
 def _switch_pointer(spark: SparkSession, path: str, line: str) -> None:
     """Write beside the pointer, then rename over it: one atomic step on HDFS-like stores."""
     jvm, conf, location, fs = _hadoop(spark, path)
-    staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{line}")
+    staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{line.split()[0]}")
     stream = fs.create(staged, True)
     try:
         stream.write(bytearray(line.encode()))
@@ -71,7 +71,14 @@ def _next_version(spark: SparkSession, folder: str) -> str:
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> str | None:
-    return _read_line(spark, f"{root}/{table}/{POINTER}")
+    line = _read_line(spark, f"{root}/{table}/{POINTER}")
+    return line.split()[0] if line else None
+
+
+def current_note(spark: SparkSession, root: str, table: str) -> str | None:
+    """What was published together with the current version."""
+    line = _read_line(spark, f"{root}/{table}/{POINTER}")
+    return line.partition(" ")[2] or None if line else None
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
@@ -83,15 +90,15 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None
 def reconcile_counts(name: str, source_rows: int, loaded_rows: int) -> int:
     if source_rows != loaded_rows:
         raise ReconciliationError(
-            f"{name}: row count mismatch (source={source_rows}, loaded={loaded_rows})"
+            f"{name}: {loaded_rows} rows were written, {source_rows} were read"
         )
     return loaded_rows
 
 
-def publish(df: DataFrame, root: str, table: str) -> int:
+def publish(df: DataFrame, root: str, table: str, note: str | None = None) -> int:
     """Write a new version, verify it, make it current. Returns its row count.
 
-    The source rows are counted while they are written, not by a second pass.
+    A note becomes current in the same step. The source rows are counted while they are written, not by a second pass.
     """
     spark = df.sparkSession
     folder = f"{root}/{table}"
@@ -100,16 +107,16 @@ def publish(df: DataFrame, root: str, table: str) -> int:
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/{version}")
     loaded = spark.read.parquet(f"{folder}/{version}").count()
     reconcile_counts(table, seen.get["rows"], loaded)
-    _switch_pointer(spark, f"{folder}/{POINTER}", version)
+    _switch_pointer(spark, f"{folder}/{POINTER}", f"{version} {note}" if note else version)
     return loaded
 
 
 def require_same_columns(name: str, existing: DataFrame, incoming: DataFrame) -> None:
     """Same columns, in the same order, of the same type."""
-    before = [(f.name.lower(), f.dataType) for f in existing.schema.fields]
-    after = [(f.name.lower(), f.dataType) for f in incoming.schema.fields]
+    before = [(f.name.lower(), f.dataType.simpleString()) for f in existing.schema.fields]
+    after = [(f.name.lower(), f.dataType.simpleString()) for f in incoming.schema.fields]
     if before != after:
         raise SchemaDriftError(
-            f"{name}: schema drift. Table has {[n for n, _ in before]}, "
-            f"source has {[n for n, _ in after]}"
+            f"{name}: columns differ. Only in the table: {sorted(set(before) - set(after))}; "
+            f"only in the source: {sorted(set(after) - set(before))}; or another order"
         )

@@ -1,8 +1,9 @@
 """Monthly status loads as a stream into the versioned status history.
 
-Each micro-batch is one load: the current status of the loans it contains. The batch
-operator does the work, so a replayed micro-batch (after a lost driver or executor)
-finds its versions already there and changes nothing.
+Each micro-batch holds the status of loans at one or several months and is applied in one
+pass. The number of the micro-batch is published together with the history it leads to, so a
+micro-batch that is replayed (after a driver lost between publishing and committing) is
+recognised and left alone. A month that the history has passed is refused by `scd2_apply`.
 """
 
 from __future__ import annotations
@@ -17,29 +18,32 @@ from lendscope.sources import store
 KEY = "sk_id_prev"
 
 
-def apply_load(batch: DataFrame, root: str, table: str) -> None:
-    """Apply the loads of one micro-batch, oldest month first, and publish the result.
-
-    A micro-batch holds a handful of load months; the months are listed, never rows.
-    """
-    months = sorted(row.as_of_month for row in batch.select("as_of_month").distinct().collect())
-    history = store.read_current(batch.sparkSession, root, table)
-    for month in months:
-        load = batch.where(F.col("as_of_month") == month)
-        if history is None:
-            history = start_history(load, KEY, F.col("as_of_month"))
-        else:
-            history = scd2_apply(history, load, KEY)
-    if months:
-        store.publish(history, root, table)
+def apply_load(batch: DataFrame, root: str, table: str, batch_id: int | None = None) -> None:
+    """Apply one micro-batch and publish the result; nothing if it was applied before."""
+    spark = batch.sparkSession
+    note = store.current_note(spark, root, table)
+    if batch_id is not None and note is not None and int(note) >= batch_id:
+        return
+    history = store.read_current(spark, root, table)
+    if history is None:
+        history = start_history(batch.where("false"), KEY, F.col("as_of_month"))
+    if not batch.isEmpty():
+        note = None if batch_id is None else str(batch_id)
+        store.publish(scd2_apply(history, batch, KEY), root, table, note)
 
 
 def follow_status(
     loads: DataFrame, root: str, table: str, checkpoint: str
 ) -> StreamingQuery:
-    """Work off every load that has arrived (one row per loan and load), then stop."""
+    """Work off every load that has arrived (one row per loan and month), then stop.
+
+    Set `maxFilesPerTrigger` on the source to bound a micro-batch of a long backlog. Numbers
+    of micro-batches belong to a checkpoint: keep one checkpoint for each table.
+    """
     return (
-        loads.writeStream.foreachBatch(lambda batch, _: apply_load(batch, root, table))
+        loads.writeStream.foreachBatch(
+            lambda batch, batch_id: apply_load(batch, root, table, batch_id)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

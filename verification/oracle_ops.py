@@ -476,6 +476,7 @@ where load_no = 1 or before is distinct from name_contract_status
 
 
 fragment("scd2_apply", versions_at(LOADS))
+fragment("scd2_replay", versions_at(LOADS))
 fragment("scd2_ids_full", versions_at((-24, -1)))
 fragment(
     "scd2_ids",

@@ -462,45 +462,50 @@ def win_latest_row(f: Frames) -> DataFrame:
 
 
 def _months(f: Frames) -> DataFrame:
-    """One row per loan and month of the observation window: the bound of every window."""
-    latest = F.max(F.struct("name_contract_status", "sk_dpd"))
-    return (
-        f.pos.where(F.col("months_balance").between(-96, -1))
-        .groupBy("sk_id_prev", "months_balance")
-        .agg(latest.alias("r"))
-        .select("sk_id_prev", "months_balance", "r.name_contract_status", "r.sk_dpd")
-    )
+    """Every monthly row. A loan has one row for each month (the declared grain
+    `unique(sk_id_prev, months_balance)`), which is what bounds a window."""
+    return f.pos.select("sk_id_prev", "months_balance", "name_contract_status", "sk_dpd")
+
+
+def _by_month(*month):
+    """Months in order; rows that repeat a month by their other columns."""
+    order = month or (F.col("months_balance"),)
+    return Window.partitionBy("sk_id_prev").orderBy(*order, "name_contract_status", "sk_dpd")
 
 
 @query
 def win_rank_in_side(f: Frames) -> DataFrame:
+    return rank_in_side(_months(f))
+
+
+def rank_in_side(months: DataFrame) -> DataFrame:
     side = F.when(F.col("months_balance") <= -40, 0).otherwise(1)
-    w = Window.partitionBy("sk_id_prev", side).orderBy(F.desc("months_balance"))
-    return _months(f).select(
+    w = Window.partitionBy("sk_id_prev", side).orderBy(
+        F.desc("months_balance"), "name_contract_status", "sk_dpd"
+    )
+    return months.select(
         "sk_id_prev", "months_balance", F.row_number().over(w).cast("bigint").alias("rank_in_side")
     )
 
 
-def _by_month():
-    return Window.partitionBy("sk_id_prev").orderBy("months_balance")
-
-
-register(
-    "win_lag",
-    lambda f: _months(f).select(
+def previous_status(months: DataFrame) -> DataFrame:
+    return months.select(
         "sk_id_prev",
         "months_balance",
         F.lag("name_contract_status").over(_by_month()).alias("previous_status"),
-    ),
-)
-register(
-    "win_lead",
-    lambda f: _months(f).select(
+    )
+
+
+def next_month(months: DataFrame) -> DataFrame:
+    return months.select(
         "sk_id_prev",
         "months_balance",
         F.lead("months_balance").over(_by_month()).alias("next_month"),
-    ),
-)
+    )
+
+
+register("win_lag", lambda f: previous_status(_months(f)))
+register("win_lead", lambda f: next_month(_months(f)))
 
 
 @query
@@ -518,9 +523,13 @@ def win_share(f: Frames) -> DataFrame:
 
 @query
 def win_runs(f: Frames) -> DataFrame:
+    return status_runs(_months(f))
+
+
+def status_runs(months: DataFrame) -> DataFrame:
     """Runs of equal status per loan."""
     status = F.coalesce("name_contract_status", F.lit("(null)"))
-    months = _months(f).withColumn("status", status)
+    months = months.withColumn("status", status)
     months = months.withColumn("before", F.lag("status").over(_by_month()))
     starts = F.col("before").isNull() | (F.col("before") != F.col("status"))
     return months.groupBy("sk_id_prev").agg(F.count_if(starts).alias("n_runs"))
@@ -724,6 +733,17 @@ register(
     lambda f: _loaded(f, (-24, -1)).select("sk_id_prev", *scd2.VERSION_COLUMNS),
 )
 register("scd2_backfill", lambda f: f.status_history)
+
+
+
+@query
+def scd2_replay(f: Frames) -> DataFrame:
+    """Several loads in one batch, applied twice: what they leave one by one."""
+    batch = union(monthly.status_as_of(f.pos, month) for month in LOADS)
+    empty = scd2.start_history(batch.where("false"), "sk_id_prev", F.col("as_of_month"))
+    return scd2.scd2_apply(scd2.scd2_apply(empty, batch), batch)
+
+
 register("scd2_rerun_idempotent", lambda f: _loaded(f, (-24, -1, -1)))
 
 # ---------------------------------------------------------------- sample
