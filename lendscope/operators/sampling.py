@@ -7,8 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendscope.sources.readers import write_sorted
+
 # Fixed value: how the manifest describes the selection.
 SELECTION = "ORDER BY md5(seed || ':' || SK_ID_CURR) LIMIT n_clients"
+#: Clients a sample may have: its ids pass through one task. More are refused.
+MOST_CLIENTS = 1_000_000
 CLIENT_TABLES = (
     "bureau",
     "previous_application",
@@ -21,8 +25,11 @@ CLIENT_TABLES = (
 def hash_sample(ids: DataFrame, n: int, seed: int, key: str = "sk_id_curr") -> DataFrame:
     """The n ids that come first in the order of a seeded hash.
 
-    A top-n: each task keeps n candidates, nothing is sorted as a whole.
+    A top-n: each task keeps n candidates, nothing is sorted as a whole. More than
+    MOST_CLIENTS are refused, since the candidates of all tasks meet in one.
     """
+    if n > MOST_CLIENTS:
+        raise ValueError(f"a sample has at most {MOST_CLIENTS} clients, asked for {n}")
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
     return ids.select(key).orderBy(hashed, F.col(key)).limit(n)
 
@@ -53,7 +60,7 @@ def sample_closure(
 
 
 def ids_digest(ids: DataFrame, key: str = "sk_id_curr") -> Column:
-    """sha256 over the comma-joined ids in text order. At most the sample size is gathered."""
+    """sha256 over the comma-joined ids in text order. At most MOST_CLIENTS ids meet."""
     joined = F.array_join(F.sort_array(F.collect_list(key)), ",")
     return ids.agg(F.sha2(joined, 256)).scalar()
 
@@ -82,3 +89,25 @@ def sample_manifest(sample: Mapping[str, DataFrame], seed: int) -> DataFrame:
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("error").json(path)
+
+
+def build_sample(
+    raw: Mapping[str, DataFrame], path: str, n: int, n_test: int, seed: int
+) -> DataFrame:
+    """Write all tables of a sample, each in the order of its columns, and its manifest.
+
+    The selected ids are written first and read by every table, so the selection runs once.
+    Returns the manifest.
+    """
+    spark = raw["application_train"].sparkSession
+    chosen = sample_clients(raw["application_train"], raw["application_test"], n, n_test, seed)
+    ids = []
+    for name, frame in zip(("train_ids", "test_ids"), chosen, strict=True):
+        frame.write.mode("error").parquet(f"{path}/_{name}")
+        ids.append(spark.read.schema(frame.schema).parquet(f"{path}/_{name}"))
+    written = {}
+    for name, df in sample_closure(raw, *ids).items():
+        write_sorted(df, f"{path}/{name}")
+        written[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    write_manifest(sample_manifest(written, seed), f"{path}/manifest")
+    return spark.read.json(f"{path}/manifest")

@@ -389,18 +389,18 @@ def verify_layers(
     one_row = raw_train.sparkSession.range(1).select(*(c.alias(n) for n, c in counts.items()))
 
     raw, staged, covered = F.col("n_raw"), F.col("n_staged"), F.col("n_covered")
-    messages = [F.when(F.col(f"n_{name}") == 0, f"{name} is empty") for name in MARTS]
+    messages = [F.when(F.col(f"n_{name}") == 0, f"no rows in {name}") for name in MARTS]
     messages += [
-        F.when(raw == 0, "raw application_train is empty"),
+        F.when(raw == 0, "no rows landed for application_train"),
         F.when(
             raw != staged,
-            F.format_string("staging lost or duplicated clients: raw=%d staging=%d", raw, staged),
+            F.format_string("%d clients landed, %d are staged", raw, staged),
         ),
         F.when(
             raw != covered,
-            F.format_string("mart_credit_risk covers %d clients, raw has %d", covered, raw),
+            F.format_string("%d clients landed, %d stand in mart_credit_risk", raw, covered),
         ),
     ]
     if history is not None:
-        messages.append(F.when(F.col("n_history") == 0, "loan status history is empty"))
+        messages.append(F.when(F.col("n_history") == 0, "no rows in the status history"))
     return one_row.select(F.explode(F.array_compact(F.array(*messages))).alias("message"))

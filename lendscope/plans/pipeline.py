@@ -1,6 +1,6 @@
 """The batch job: load, type, summarise, publish, check, verify.
 
-    spark-submit --py-files ... -m lendscope.plans.pipeline <source folder> <warehouse folder>
+    spark-submit --py-files ... -m lendscope.plans.pipeline <source folder> <warehouse folder> [csv|parquet]
 
 Tables that several later steps read are published as Parquet and read back: that cuts
 lineage at a durable place (a lost executor costs its tasks, not the job) and lets every
@@ -203,6 +203,9 @@ def run(
     """
     warehouse = Warehouse(spark, root)
     raw_load.load_changed(spark, sources, f"{warehouse.root}/raw", load_ts, force)
+    fresh = warehouse.publish("source_freshness", freshness_results(warehouse, load_ts))
+    stale = fresh.where("status = 'error'").collect()  # one row per source at most
+    _stop_on(sorted(f"{r.table_name} was last loaded {r.max_loaded_at}" for r in stale), stop_on_error)
     tables = staged_tables(warehouse)
     _stop_on(check_layer(warehouse, rules.STAGING, tables), stop_on_error)
     tables |= build_history(warehouse, tables, window_start)
@@ -226,14 +229,34 @@ def run(
     return tables
 
 
+def freshness_results(warehouse: Warehouse, now: datetime.datetime) -> DataFrame:
+    """One row per source: its latest load and whether that is too old."""
+    return reduce(
+        DataFrame.unionByName,
+        (
+            raw_load.freshness(warehouse.raw(t.name), now).withColumn("table_name", F.lit(t.name))
+            for t in TABLES
+        ),
+    )
+
+
+def read_sources(
+    spark: SparkSession, folder: str, kind: str = "csv", multi_line: bool = False
+) -> dict[str, DataFrame]:
+    """The source tables of a folder: CSV files, or a Parquet table of text for each."""
+    if kind == "parquet":
+        return {t.name: readers.read_parquet(spark, f"{folder}/{t.name}") for t in TABLES}
+    return {
+        t.name: readers.read_csv_text(spark, f"{folder}/{t.file_name}", multi_line=multi_line)
+        for t in TABLES
+    }
+
+
 def main(argv: list[str]) -> None:
-    source_folder, root = argv
+    source_folder, root, *kind = argv
     spark = build_session("lendscope")
-    sources = {
-        t.name: readers.read_csv_text(spark, f"{source_folder}/{t.file_name}") for t in TABLES
-    }
     now = datetime.datetime.now(datetime.UTC).replace(tzinfo=None, microsecond=0)
-    run(spark, sources, root, now)
+    run(spark, read_sources(spark, source_folder, *kind), root, now)
 
 
 if __name__ == "__main__":

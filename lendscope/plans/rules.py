@@ -28,10 +28,6 @@ from lendscope.operators.quality import (
 from lendscope.plans.marts import DIMENSIONS, HORIZON
 
 
-def _numbered(name: str, last: int) -> list[str]:
-    return [f"{name} {n}" for n in range(1, last + 1)]
-
-
 # Category labels of the source files.
 CONTRACTS = ["Cash loans", "Revolving loans"]
 PREVIOUS_CONTRACTS = ["Cash loans", "Consumer loans", "Revolving loans"]
@@ -65,19 +61,24 @@ WEEKDAYS = [
     "FRIDAY", "MONDAY", "SATURDAY", "SUNDAY", "THURSDAY", "TUESDAY", "WEDNESDAY",
 ]
 ORGANIZATIONS = [
-    "Advertising", "Agriculture", "Bank", *_numbered("Business Entity Type", 3), "Cleaning",
-    "Construction", "Culture", "Electricity", "Emergency", "Government", "Hotel", "Housing",
-    *_numbered("Industry: type", 13), "Insurance", "Kindergarten", "Legal Services", "Medicine",
-    "Military", "Mobile", "Other", "Police", "Postal", "Realtor", "Religion", "Restaurant",
-    "School", "Security", "Security Ministries", "Self-employed", "Services", "Telecom",
-    *_numbered("Trade: type", 7), *_numbered("Transport: type", 4), "University",
+    "Advertising", "Agriculture", "Bank", "Business Entity Type 1", "Business Entity Type 2",
+    "Business Entity Type 3", "Cleaning", "Construction", "Culture", "Electricity", "Emergency",
+    "Government", "Hotel", "Housing", "Industry: type 1", "Industry: type 10", "Industry: type 11",
+    "Industry: type 12", "Industry: type 13", "Industry: type 2", "Industry: type 3",
+    "Industry: type 4", "Industry: type 5", "Industry: type 6", "Industry: type 7",
+    "Industry: type 8", "Industry: type 9", "Insurance", "Kindergarten", "Legal Services",
+    "Medicine", "Military", "Mobile", "Other", "Police", "Postal", "Realtor", "Religion",
+    "Restaurant", "School", "Security", "Security Ministries", "Self-employed", "Services",
+    "Telecom", "Trade: type 1", "Trade: type 2", "Trade: type 3", "Trade: type 4", "Trade: type 5",
+    "Trade: type 6", "Trade: type 7", "Transport: type 1", "Transport: type 2",
+    "Transport: type 3", "Transport: type 4", "University",
 ]
 FUNDS = ["not specified", "org spec account", "reg oper account", "reg oper spec account"]
 HOUSE_TYPES = ["block of flats", "specific housing", "terraced house"]
 WALLS = ["Block", "Mixed", "Monolithic", "Others", "Panel", "Stone, brick", "Wooden"]
 YES_NO = ["No", "Yes"]
 CREDIT_STATES = ["Active", "Bad debt", "Closed", "Sold"]
-CURRENCIES = _numbered("currency", 4)
+CURRENCIES = ["currency 1", "currency 2", "currency 3", "currency 4"]
 CREDIT_TYPES = [
     "Another type of loan", "Car loan", "Cash loan (non-earmarked)", "Consumer credit",
     "Credit card", "Interbank credit", "Loan for business development",

@@ -38,7 +38,7 @@ def source_digest(df: DataFrame) -> DataFrame:
     def lane(first: int):
         """Sum over rows of 60 bits of the hash."""
         part = F.conv(F.substr(row_hash, F.lit(first), F.lit(15)), 16, 10)
-        return F.coalesce(F.sum(part.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
+        return F.coalesce(F.sum(part.cast("decimal(28,0)")), F.lit(0)).cast("decimal(38,0)")
 
     sums = df.agg(F.count("*").alias("row_count"), lane(1).alias("low"), lane(16).alias("high"))
     parts = [F.col(c).cast("string") for c in ("row_count", "low", "high")]
@@ -98,11 +98,11 @@ def check_columns(columns: list[str], table: SourceTable) -> None:
     """Refuse unusable headers before anything is written."""
     for name in columns:
         if not _IDENTIFIER.fullmatch(name):
-            raise ValueError(f"unsafe or unsupported identifier in source header: {name!r}")
+            raise ValueError(f"not usable as a column name: {name!r}")
     present = {name.lower() for name in columns}
     missing = [name for name in table.required if name not in present]
     if missing:
-        raise ValueError(f"{table.file_name}: missing expected columns {missing}; got {columns[:8]}")
+        raise ValueError(f"{table.file_name} lacks {missing}")
 
 
 def with_audit(df: DataFrame, source_file: str, load_ts: datetime.datetime) -> DataFrame:

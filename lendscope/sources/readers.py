@@ -6,17 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv_text(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header, all text; an empty field is NULL, quoted or not.
 
     Without a schema the column names come from the header line and nothing is
-    inferred. A row that does not fit the header stops the load.
+    inferred. A row that does not fit the header stops the load. `multi_line` takes line
+    breaks inside quotes; such a file cannot be split among tasks, so it is off by default.
     """
     reader = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
     )
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)

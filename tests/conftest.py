@@ -1,13 +1,14 @@
-"""One local session and a small synthetic set of source tables."""
+"""One local session and a small portfolio of source tables, all text as they are landed."""
 
 from __future__ import annotations
 
+import random
+from types import SimpleNamespace
+
 import pytest
 
 from lendscope.session import build_session
 
-N_TRAIN, N_TEST = 40, 12
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -21,44 +22,65 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def _table(spark, names: str, rows):
-    schema = ", ".join(f"{name} string" for name in names.split())
-    return spark.createDataFrame([tuple(str(v) for v in row) for row in rows], schema)
+def _portfolio(seed: int = 11) -> dict[str, tuple[str, list[tuple]]]:
+    """Columns and rows of each table. Clients have none to several credits and loans, loans
+    have several schedule versions, unpaid installments and payments of unknown loans."""
+    rng = random.Random(seed)
+    labelled = [f"{7_000 + 13 * i}" for i in range(23)]
+    unlabelled = [f"{90_000 + 7 * i}" for i in range(9)]
+    rows: dict[str, list[tuple]] = {
+        name: []
+        for name in (
+            "bureau", "bureau_balance", "previous_application", "installments_payments",
+            "pos_cash_balance", "credit_card_balance",
+        )
+    }
+    loan = credit = 0
+    for client in labelled + unlabelled:
+        for _ in range(rng.randrange(4)):
+            credit += 1
+            rows["bureau"].append((client, f"b{credit}"))
+            rows["bureau_balance"] += [
+                (f"b{credit}", str(-m), rng.choice(["C", "X", "0", "1"])) for m in range(rng.randrange(5))
+            ]
+        for _ in range(rng.randrange(3)):
+            loan += 1
+            rows["previous_application"].append((client, f"p{loan}"))
+            for version in range(1, 1 + rng.randrange(1, 3)):
+                for number in range(1, 1 + rng.randrange(1, 4)):
+                    paid = None if rng.random() < 0.3 else str(rng.randrange(1, 90))
+                    rows["installments_payments"].append(
+                        (f"p{loan}", client, str(version), str(number), paid)
+                    )
+            table = rng.choice(["pos_cash_balance", "credit_card_balance"])
+            rows[table] += [(f"p{loan}", client, str(-m)) for m in range(1, 2 + rng.randrange(4))]
+    rows["installments_payments"] += [("p999", labelled[0], "1", "1", "5"), (None, None, "1", "1", None)]
+    rows["bureau_balance"].append((None, "-1", "0"))
+    columns = {
+        "application_train": "SK_ID_CURR TARGET",
+        "application_test": "SK_ID_CURR",
+        "bureau": "SK_ID_CURR SK_ID_BUREAU",
+        "bureau_balance": "SK_ID_BUREAU MONTHS_BALANCE STATUS",
+        "previous_application": "SK_ID_CURR SK_ID_PREV",
+        "installments_payments": (
+            "SK_ID_PREV SK_ID_CURR NUM_INSTALMENT_VERSION NUM_INSTALMENT_NUMBER AMT_PAYMENT"
+        ),
+        "pos_cash_balance": "SK_ID_PREV SK_ID_CURR MONTHS_BALANCE",
+        "credit_card_balance": "SK_ID_PREV SK_ID_CURR MONTHS_BALANCE",
+    }
+    rows["application_train"] = [(c, str(int(rng.random() < 0.25))) for c in labelled]
+    rows["application_test"] = [(c,) for c in unlabelled]
+    return {name: (columns[name], rows[name]) for name in columns}
 
 
 @pytest.fixture(scope="session")
-def sources(spark):
-    """Minimal source tables: two credits, one loan with two installments per client."""
-    train = [100000 + i for i in range(N_TRAIN)]
-    test = [300000 + i for i in range(N_TEST)]
-    people = train + test
-    loans = [(client, 200000 + i) for i, client in enumerate(people)]
-    credits = [(client, 500000 + 10 * i + j) for i, client in enumerate(people) for j in (0, 1)]
-    return {
-        "application_train": _table(
-            spark, "SK_ID_CURR TARGET", [(c, int(c % 5 == 0)) for c in train]
-        ),
-        "application_test": _table(spark, "SK_ID_CURR", [(c,) for c in test]),
-        "bureau": _table(spark, "SK_ID_CURR SK_ID_BUREAU", credits),
-        "bureau_balance": _table(
-            spark,
-            "SK_ID_BUREAU MONTHS_BALANCE STATUS",
-            [(b, -m, 0) for _, b in credits for m in range(3)],
-        ),
-        "previous_application": _table(spark, "SK_ID_CURR SK_ID_PREV", loans),
-        "installments_payments": _table(
-            spark,
-            "SK_ID_PREV SK_ID_CURR NUM_INSTALMENT_NUMBER",
-            [(loan, c, n) for c, loan in loans for n in (0, 1)],
-        ),
-        "pos_cash_balance": _table(
-            spark,
-            "SK_ID_PREV SK_ID_CURR MONTHS_BALANCE",
-            [(loan, c, -n) for c, loan in loans for n in (0, 1)],
-        ),
-        "credit_card_balance": _table(
-            spark,
-            "SK_ID_PREV SK_ID_CURR MONTHS_BALANCE",
-            [(loan, c, -n) for c, loan in loans[:10] for n in (0, 1)],
-        ),
-    }
+def portfolio(spark):
+    """`rows` by table as plain tuples, `tables` as frames."""
+    made = _portfolio()
+    return SimpleNamespace(
+        rows={name: rows for name, (_, rows) in made.items()},
+        tables={
+            name: spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split()))
+            for name, (columns, rows) in made.items()
+        },
+    )

@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from lendscope.operators import clients, monthly, scd2, schedule, upsert
@@ -242,3 +243,81 @@ def test_client_with_only_unpaid_installments(spark):
     assert (history[20].worst_dpd_bucket_12m, history[20].dpd_bucket,
             history[20].tenure_cohort) == ("no_history", "no_history", "no_prior_loan")
     assert history[20].n_installments == 0 and history[20].bureau_active_debt == 0
+
+
+WINDOW_ROWS = [  # a loan with months outside any horizon, repeated months and a NULL status
+    (1, -400, "Active"), (1, -96, "Active"), (1, -3, None), (1, -3, "Signed"), (1, 0, "Signed"), (1, 7, "Active"),
+]
+
+
+def _month_rows(spark):
+    rows = [(loan, month, status, 0) for loan, month, status in WINDOW_ROWS]
+    return spark.createDataFrame(
+        rows, "sk_id_prev bigint, months_balance bigint, name_contract_status string, sk_dpd bigint"
+    )
+
+
+def test_window_queries_read_every_month(spark):
+    from verification import queries
+
+    months = _month_rows(spark)
+    order = [m for _, m, _ in WINDOW_ROWS]
+    ranks = queries.rank_in_side(months).collect()
+    assert sorted((r.months_balance, r.rank_in_side) for r in ranks) == [
+        (-400, 2), (-96, 1), (-3, 3), (-3, 4), (0, 2), (7, 1)
+    ]
+    following = sorted((r.months_balance, r.next_month) for r in queries.next_month(months).collect() if r.next_month is not None)
+    assert following == sorted(zip(order, order[1:], strict=False))
+    before = [r.previous_status for r in queries.previous_status(months).orderBy("months_balance").collect()]
+    assert len(before) == 6 and before.count(None) == 2
+    assert queries.status_runs(months).first().n_runs == 4
+
+
+def _loads(spark, rows):
+    return spark.createDataFrame(
+        rows, "sk_id_prev bigint, sk_id_curr bigint, name_contract_status string, "
+        "observed_month bigint, as_of_month bigint",
+    )
+
+
+def _versions(history):
+    return sorted((r.sk_id_prev, r.dbt_valid_from, r.dbt_valid_to, r.name_contract_status) for r in history.collect())
+
+
+def test_a_batch_of_several_months_can_be_replayed(spark):
+    batch = _loads(spark, [(1, 9, "A", -24, -24), (1, 9, "B", -1, -1), (2, 9, None, -24, -24), (2, 9, None, -1, -1)])
+    empty = scd2.start_history(batch.where("false"), "sk_id_prev", batch["as_of_month"])
+    once = scd2.scd2_apply(empty, batch)
+    assert _versions(once) == [(1, -24, -1, "A"), (1, -1, None, "B"), (2, -24, None, None)]
+    assert _versions(scd2.scd2_apply(once, batch)) == _versions(once)
+    part = batch.where("as_of_month = -24")
+    assert _versions(scd2.scd2_apply(once, part)) == _versions(once)
+
+
+@pytest.mark.parametrize("row", [(1, 9, "C", -12, -12), (1, 9, "C", -1, -1), (1, 9, "A", -30, -30)])
+def test_a_month_that_has_passed_is_refused(spark, row):
+    batch = _loads(spark, [(1, 9, "A", -24, -24), (1, 9, "B", -1, -1)])
+    history = scd2.scd2_apply(scd2.start_history(batch.where("false"), "sk_id_prev", batch["as_of_month"]), batch)
+    with pytest.raises(Exception, match="is past moment"):
+        scd2.scd2_apply(history, _loads(spark, [row])).collect()
+    # Other loans do not mind.
+    assert scd2.scd2_apply(history, _loads(spark, [(3, *row[1:])])).count() == 3
+
+
+def test_two_statuses_of_one_month_are_refused(spark):
+    batch = _loads(spark, [(1, 9, "A", -24, -24), (1, 9, "B", -24, -24)])
+    empty = scd2.start_history(batch.where("false"), "sk_id_prev", batch["as_of_month"])
+    with pytest.raises(Exception, match="is past moment"):
+        scd2.scd2_apply(empty, batch).collect()
+
+
+def test_the_plan_grows_by_the_same_amount_with_every_load(spark):
+    rows = pos(spark, [(1, m, 0, "Active") for m in range(-14, 0)])
+    history = scd2.start_history(monthly.status_as_of(rows, -13), "sk_id_prev", F.col("as_of_month"))
+    sizes = []
+    for month in range(-12, 0):
+        history = scd2.scd2_apply(history, monthly.status_as_of(rows, month))
+        plan = history._jdf.queryExecution().analyzed().toString()
+        sizes.append(plan.count("LogicalRDD") + plan.count("LocalRelation"))
+    steps = {b - a for a, b in zip(sizes, sizes[1:], strict=False)}
+    assert len(steps) == 1, sizes

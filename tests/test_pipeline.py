@@ -8,8 +8,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lendscope.operators import monthly, scd2
-from lendscope.plans import pipeline
+from lendscope.operators import monthly, quality, scd2
+from lendscope.plans import pipeline, rules
 from lendscope.sources import store
 from lendscope.sources.registry import TABLES
 from lendscope.streaming.status_feed import follow_status
@@ -42,9 +42,69 @@ def test_two_runs_publish_the_same_marts(spark, tmp_path):
     assert {r.check_name for r in business.values() if r.status == "fail"} == set()
     assert business["schedule_amounts"].status == "warn"
 
+    # All checks ran and left their results, although nothing was to stop the job.
+    layers = [f"checks_{layer}" for layer in (*rules.CHECKS, "business")]
+    published = {name: store.read_current(spark, f"{root}/tables", name) for name in layers}
+    assert all(df is not None and df.count() > 0 for df in published.values())
+    fresh = store.read_current(spark, f"{root}/tables", "source_freshness").collect()
+    assert len(fresh) == len(TABLES) and {r.status for r in fresh} == {"pass"}
+
     # The mapped data breaks some label lists on purpose: an error must stop the job.
     with pytest.raises(pipeline.ChecksFailed, match="emergencystate_mode"):
-        pipeline.check_layer(pipeline.Warehouse(spark, root), "staging", again)
+        pipeline.run(spark, sources, root, first, window_start=mapping.POS_WINDOW_START)
+    with pytest.raises(pipeline.ChecksFailed, match="was last loaded"):
+        late = first + datetime.timedelta(days=30)
+        pipeline.run(spark, sources, root, late, window_start=mapping.POS_WINDOW_START)
+
+
+def test_the_job_passes_its_checks_on_clean_data(spark, tmp_path):
+    f = Frames(spark, SF_DIR)
+    sources = {t.name: source_columns(f.raw(t.name)) for t in TABLES}
+    options = {"window_start": mapping.POS_WINDOW_START}
+    for name in ("application_train", "application_test", "bureau", "previous_application",
+                 "installments_payments", "pos_cash_balance", "credit_card_balance", "bureau_balance"):
+        sources[name] = _without_bad_labels(sources[name], name)
+    tables = pipeline.run(spark, sources, str(tmp_path), datetime.datetime(2024, 6, 1), **options)
+    assert tables["mart_credit_risk"].count() > 0
+
+
+def _without_bad_labels(df, name):
+    """NULL in place of labels that the declared checks do not allow."""
+    checks = [
+        c for c in rules.CHECKS[rules.STAGING] if c.table == f"stg_{name}" and c.kind == quality.ACCEPTED
+    ]
+    allowed = {c.columns[0]: c.allowed for c in checks if c.severity == quality.ERROR}
+    return df.select(
+        *(
+            F.when(F.trim(F.col(c)).isin(*allowed[c.lower()], "XNA"), F.col(c)).alias(c)
+            if c.lower() in allowed and c.lower() not in {"target"} and "flag" not in c.lower()
+            else F.col(c)
+            for c in df.columns
+        )
+    )
+
+
+def test_a_replayed_micro_batch_changes_nothing(spark, tmp_path):
+    from lendscope.streaming.status_feed import apply_load
+
+    schema = "sk_id_prev bigint, sk_id_curr bigint, name_contract_status string, observed_month bigint, as_of_month bigint"
+    root = str(tmp_path)
+    batch = spark.createDataFrame([(1, 9, "A", -24, -24), (1, 9, "B", -1, -1)], schema)
+
+    def state():
+        rows = store.read_current(spark, root, "h").collect()
+        return store.current_version(spark, root, "h"), sorted((r.dbt_valid_from, r.dbt_valid_to) for r in rows)
+
+    apply_load(batch, root, "h", 0)
+    before = state()
+    assert before[1] == [(-24, -1), (-1, None)] and store.current_note(spark, root, "h") == "0"
+    apply_load(batch, root, "h", 0)
+    assert state() == before
+    apply_load(batch, root, "h", 1)  # seen under another number: the same versions
+    assert state()[1] == before[1]
+    with pytest.raises(Exception, match="is past moment"):
+        apply_load(spark.createDataFrame([(1, 9, "C", -12, -12)], schema), root, "h", 2)
+    assert state()[1] == before[1]
 
 
 def test_stream_of_loads_equals_the_batch_history(spark, tmp_path):

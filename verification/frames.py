@@ -142,3 +142,14 @@ class Frames:
             "snp_loan_status": "status_history",
         }.get(name, name)
         return getattr(self, attribute)
+
+
+class StagedFrames(Frames):
+    """Frames over staged tables that were written before, as the job has them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: str):
+        super().__init__(spark, sf_dir)
+        self.staged = staged
+
+    def stg(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.staged}/{name}")

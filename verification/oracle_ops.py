@@ -742,11 +742,11 @@ where n_loans_observable > previous_observable
 fragment(
     "verify_layers",
     """
-select 'fct_loans is empty' as message
-union all select format('staging lost or duplicated clients: raw={} staging={}', count(*),
+select 'no rows in fct_loans' as message
+union all select format('{} clients landed, {} are staged', count(*),
     count(*) filter (sk_id_curr % 50 <> 0)) from @stg_application_train
-union all select format('mart_credit_risk covers {} clients, raw has {}',
-    count(*) filter (code_gender is distinct from 'M'), count(*)) from @stg_application_train
+union all select format('{} clients landed, {} stand in mart_credit_risk', count(*),
+    count(*) filter (code_gender is distinct from 'M')) from @stg_application_train
 """,
 )
 

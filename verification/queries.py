@@ -20,6 +20,8 @@ from verification.frames import Frames
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+#: The same queries over frames that are already there.
+BUILDERS: dict[str, Callable[[Frames], DataFrame]] = {}
 
 LOAD_TS = datetime.datetime(2024, 3, 1, 6, 0, 0)
 NOW = datetime.datetime(2024, 1, 5)
@@ -29,6 +31,7 @@ SAMPLE_CLIENTS, SAMPLE_TEST_CLIENTS, SEED = 300, 60, 42
 def register(name: str, build: Callable[[Frames], DataFrame]) -> None:
     if name in REGISTRY:
         raise ValueError(f"query {name} is registered twice")
+    BUILDERS[name] = build
     REGISTRY[name] = lambda spark, sf_dir: build(Frames(spark, sf_dir))
 
 
