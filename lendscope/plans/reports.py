@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendscope.functions import pairs
 from lendscope.functions.risk import DPD_BUCKETS, dpd_bucket
 from lendscope.operators.clients import NO_HISTORY, NO_PRIOR_LOAN, RECENT_DAYS, UNPAID
 from lendscope.plans.marts import segment_risk
@@ -94,13 +95,17 @@ def worst_delay(installments: DataFrame, clients: DataFrame) -> DataFrame:
     """(client, worst days late, when it fell due, default flag) of labelled clients.
 
     The maximum of (days, due day) pairs finds the worst delay and the latest day it
-    fell on in one aggregation. It also leaves one row per client for the join.
+    fell on in one hash aggregation. It also leaves one row per client for the join.
     """
     worst = (
         installments.where(F.col("dpd").isNotNull())
         .groupBy("sk_id_curr")
-        .agg(F.max(F.struct("dpd", "due_day")).alias("worst"))
-        .select("sk_id_curr", "worst.dpd", "worst.due_day")
+        .agg(F.max(pairs.pack(F.col("dpd"), F.col("due_day"))).alias("worst"))
+        .select(
+            "sk_id_curr",
+            pairs.unpack_first(F.col("worst")).alias("dpd"),
+            pairs.unpack_second(F.col("worst")).alias("due_day"),
+        )
     )
     day = F.col("due_day")
     recency = (

@@ -321,3 +321,28 @@ def test_the_plan_grows_by_the_same_amount_with_every_load(spark):
         sizes.append(plan.count("LogicalRDD") + plan.count("LocalRelation"))
     steps = {b - a for a, b in zip(sizes, sizes[1:], strict=False)}
     assert len(steps) == 1, sizes
+
+
+def test_pairs_keep_their_order_and_come_back(spark):
+    from lendscope.functions import pairs
+
+    rows = [(a, b) for a in (-5, 0, 7, 2**31 - 1) for b in (-(2**31), -1, 0, 2**31 - 1)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint").withColumn("p", pairs.pack(F.col("a"), F.col("b")))
+    back = df.select("a", "b", "p", pairs.unpack_first(F.col("p")).alias("x"), pairs.unpack_second(F.col("p")).alias("y")).collect()
+    assert all((r.a, r.b) == (r.x, r.y) for r in back)
+    assert [(r.a, r.b) for r in sorted(back, key=lambda r: r.p)] == sorted(rows)
+
+
+@pytest.mark.parametrize("name", ["filter_rank_top1", "join_agg_back", "rpt_worst_dpd_recency"])
+def test_aggregates_over_numbers_hash(spark, name):
+    from verification.queries import REGISTRY
+
+    plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_row_checks_do_not_multiply_rows(spark):
+    from verification.queries import REGISTRY
+
+    plan = REGISTRY["dq_suite"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendscope.functions import risk, typing
+from lendscope.functions import pairs, risk, typing
 from lendscope.operators import monthly, profiling, quality, sampling, scd2, staging, upsert
 from lendscope.plans import business_checks as chk
 from lendscope.plans import marts, reports, rules
@@ -236,9 +236,15 @@ register("filter_null", lambda f: f.schedule.where(F.col("dpd").isNull()).select
 @query
 def filter_rank_top1(f: Frames) -> DataFrame:
     """Cheapest order of each customer, ties by key, as an aggregate instead of a rank."""
-    best = F.min(F.struct(money("o_totalprice").alias("price"), "o_orderkey"))
-    return f.source("orders").groupBy("o_custkey").agg(best.alias("best")).select(
-        "o_custkey", "best.price", "best.o_orderkey"
+    # Price and key in one decimal of fixed width, so the aggregate hashes and never sorts.
+    cents, keys = money("o_totalprice") * 10_000, F.lit("10000000000000000000").cast("decimal(20,0)")
+    both = cents.cast("decimal(18,0)") * keys + F.col("o_orderkey").cast("decimal(19,0)")
+    best = F.min(both.cast("decimal(38,0)"))
+    return (
+        f.source("orders")
+        .groupBy("o_custkey")
+        .agg(best.alias("best"), F.min(money("o_totalprice")).alias("price"))
+        .select("o_custkey", "price", F.pmod("best", keys).cast("bigint").alias("o_orderkey"))
     )
 
 
@@ -344,10 +350,12 @@ def join_flag_presence(f: Frames) -> DataFrame:
 @query
 def join_agg_back(f: Frames) -> DataFrame:
     """Day of the worst delay of each client, the latest on ties, without a self-join."""
-    worst = F.max(F.struct("dpd", "due_day"))
+    worst = F.max(pairs.pack(F.col("dpd"), F.col("due_day")))
     late = f.schedule.where(F.col("dpd").isNotNull()).groupBy("sk_id_curr")
     return late.agg(worst.alias("w")).select(
-        "sk_id_curr", F.col("w.dpd").alias("max_dpd"), F.col("w.due_day").alias("worst_due_day")
+        "sk_id_curr",
+        pairs.unpack_first(F.col("w")).alias("max_dpd"),
+        pairs.unpack_second(F.col("w")).alias("worst_due_day"),
     )
 
 
