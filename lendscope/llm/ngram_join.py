@@ -8,13 +8,14 @@ at least k shingles in common among the first n - ceil(t * n) + k of each.
 * Large sets have too many subsets; they scan the inverted lists of the single shingles of
   their prefix (k = 1). Small sets of nearly large size stand in those lists, too.
 
-The boundary between the two minimises the cost measured on all sets: subsets written against
-lines of lists read. Sets are nodes; exact copies are one node, so they cost nothing more.
+The boundary between the two minimises the cost measured on all sets: rows of subset keys
+against rows of lists. A list is first read against one member only (see below), so beyond its
+own row a set pays for the length of a list by its logarithm. Sets are nodes; exact copies are one node, so they cost nothing more.
 
 Links are what connects: inside a key, every set is first compared with one of them only (the
-pivot). Sets that are connected after that need no comparison among each other; sets of one
-key that are still apart are compared exactly, after a count of common prefix shingles has
-let go of pairs that cannot reach the threshold. So no link that joins different groups is
+pivot, the one with the commonest shingles). Sets that are connected after that need no
+comparison among each other; sets of one key that are still apart are compared exactly, after
+a count of common prefix shingles has let go of pairs that cannot reach the threshold. So no link that joins different groups is
 lost, and a group of near copies never becomes all its pairs.
 
 The order counts how many sets hold a shingle, for the part of the shingles whose hash falls
@@ -39,9 +40,8 @@ from lendscope.llm.word_ids import slices
 WORDS, PERCENT = 4, 85
 #: Width of the counted part of the hash range against the share a prefix has of its set.
 WIDER = 1.7
-#: Sizes among which the boundary is sought, and cost of writing a subset key against
-#: reading one line of an inverted list.
-SIZES, KEY_COST = 512, 2.0
+#: Sizes among which the boundary is sought.
+SIZES = 512
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -146,9 +146,9 @@ def _prefix(size: Column, percent: int, k: int) -> Column:
 
 
 def _shared(signed: DataFrame, limit: int) -> DataFrame:
-    """node, n, rare, shared: per node the shingles it has in common with other nodes, in the
-    global order, and the number of counted shingles that stand before them (held by it alone).
-    """
+    """node, n, rare, shared, usual: per node the shingles it has in common with other nodes, in
+    the global order, the number of counted shingles that stand before them (held by it alone),
+    and how common its counted shingles are on average (logarithm)."""
     # One row for each set and shingle; a shingle holds at most one row of each set.
     same = Window.partitionBy("shingle")
     common = (
@@ -178,9 +178,19 @@ def _shared(signed: DataFrame, limit: int) -> DataFrame:
         )
     )
     sizes = signed.where(F.size("shingles") > 0).select("node", "n", "counted").distinct()
-    mine = F.size(F.filter("shared", lambda s: s["part"] == 0))
+    mine = F.filter("shared", lambda s: s["part"] == 0)
+    rare = F.col("counted") - F.size(mine)
+    usual = F.aggregate(mine, F.lit(0.0), lambda a, s: a + F.log2(s["df"] + 1))
     return ordered.join(sizes, "node").select(
-        "node", "n", (F.col("counted") - mine).alias("rare"), "shared"
+        "node",
+        "n",
+        rare.alias("rare"),
+        "shared",
+        # Nodes are hashes, so their share of the range breaks ties the same way everywhere.
+        (
+            (usual + rare) / F.greatest(F.col("counted"), F.lit(1))
+            + F.pmod("node", F.lit(1_000_003)) * 1e-12
+        ).alias("usual"),
     )
 
 
@@ -208,20 +218,24 @@ def _boundary(nodes: DataFrame, percent: int) -> int:
             F.sum((pairs * (pairs - 1) / 2).cast("double")).alias("subsets"),
             F.sum(
                 F.aggregate(
-                    _taken(percent, 1), F.lit(0.0), lambda a, s: a + s["df"].cast("double")
+                    _taken(percent, 1), F.lit(0.0), lambda a, s: a + F.log2(s["df"] + 1)
                 )
             ).alias("lists"),
         )
         .collect()  # at most SIZES rows
     )
-    costs = [(r["size"], KEY_COST * r["subsets"], r["lists"]) for r in measured]
+    costs = [(r["size"], r["subsets"], r["lists"]) for r in measured]
     return choose_boundary(costs) if costs else 0
 
 
 def _keys(nodes: DataFrame, percent: int, boundary: int) -> DataFrame:
-    """kind (1 list, 2 subset), key, node, n."""
+    """kind (1 list, 2 subset), key, node, n, usual."""
     lists = nodes.where(F.col("n") * 100 >= boundary * percent).select(
-        F.lit(1).alias("kind"), F.explode(_taken(percent, 1)["shingle"]).alias("key"), "node", "n"
+        F.lit(1).alias("kind"),
+        F.explode(_taken(percent, 1)["shingle"]).alias("key"),
+        "node",
+        "n",
+        "usual",
     )
     two = _taken(percent, 2)
     subsets = nodes.where(F.col("n") < boundary).select(
@@ -239,6 +253,7 @@ def _keys(nodes: DataFrame, percent: int, boundary: int) -> DataFrame:
         ).alias("key"),
         "node",
         "n",
+        "usual",
     )
     return lists.unionAll(subsets)
 
@@ -248,16 +263,21 @@ def _near_in_size(percent: int) -> Column:
 
 
 def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
-    """Every node of a key with the key's smallest node: node, other, n, m."""
+    """Every node of a key with the key's pivot: node, other, n, m.
+
+    The pivot is the node with the commonest shingles: of many copies of one text that were
+    changed here and there, it is the text itself or the copy next to it.
+    """
     pivots = saved(
         keys.groupBy("kind", "key")
         .agg(
-            F.min("node").alias("other"),
+            F.max_by("node", "usual").alias("other"),
+            F.max_by("n", "usual").alias("m"),
+            F.min("node").alias("least"),
             F.max("node").alias("most"),
-            F.min_by("n", "node").alias("m"),
         )
-        .where("other <> most")
-        .drop("most"),
+        .where("least <> most")
+        .drop("least", "most"),
         "pivots",
     )
     return (
@@ -268,14 +288,18 @@ def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _apart_pairs(keys: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one key that are not connected, and have enough of their prefixes in common."""
+def _apart_pairs(keys: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one key that are not connected, and have enough of their prefixes in common.
+
+    A pair comes out of the join at its first common key only, and only if it can reach the
+    threshold: nothing before the first common shingle is in common, and what is not in one of
+    the two prefixes is at most all in common. Places in the order are compared first, since
+    that costs least.
+    """
     named = keys.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    per_label = (
-        named.groupBy("kind", "key", "label").agg(F.count(F.lit(1)).alias("rows"))
-    )
+    per_label = named.groupBy("kind", "key", "label").agg(F.count(F.lit(1)).alias("rows"))
     mixed = saved(
         per_label.groupBy("kind", "key")
         .agg(F.max_by("label", "rows").alias("major"), F.count(F.lit(1)).alias("labels"))
@@ -283,41 +307,65 @@ def _apart_pairs(keys: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         .drop("labels"),
         "apart",
     )
-    rows = saved(named.join(mixed, ["kind", "key"]), "apart")
+    prefix = F.when(F.col("kind") == 1, _taken(percent, 1)).otherwise(_taken(percent, 2))
+    rows = saved(
+        named.join(mixed, ["kind", "key"])
+        .join(nodes.select("node", "rare", "shared"), "node")
+        .withColumn("prefix", prefix["shingle"])
+        .select(
+            "kind",
+            "key",
+            "node",
+            "n",
+            "label",
+            "major",
+            "prefix",
+            F.when(F.col("kind") == 1, F.col("rare") + F.array_position("prefix", F.col("key")) - 1)
+            .otherwise(0)
+            .cast("int")
+            .alias("place"),
+        ),
+        "apart",
+    )
     # The largest group of a key is compared with the others, never with itself.
     minor = rows.where("label <> major").select(
-        "kind", "key", "node", "n", F.col("label").alias("own")
+        "kind", "key", "node", "n", "place", F.col("label").alias("own"), F.col("prefix").alias("mine")
     )
     every = rows.select(
-        "kind",
-        "key",
+        F.col("kind").alias("same_kind"),
+        F.col("key").alias("same_key"),
         F.col("node").alias("other"),
         F.col("n").alias("m"),
         F.col("label").alias("others"),
         "major",
+        F.col("place").alias("their_place"),
+        F.col("prefix").alias("theirs"),
     )
-    met = (
-        minor.join(every, ["kind", "key"])
-        .where("own <> others")
-        .where((F.col("others") == F.col("major")) | (F.col("node") < F.col("other")))
-        .where(_near_in_size(percent))
+    common = F.array_intersect("mine", "theirs")
+    first = F.when(F.col("kind") == 1, F.get(common, F.lit(0))).otherwise(
+        F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1)))
     )
     least = lambda c: F.floor((c * percent + 99) / 100)
-    both = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
-    enough = F.col("common") + F.greatest(least(F.col("n")), least(F.col("m"))) - 1 >= both
-    return (
-        met.groupBy(
-            "kind",
-            F.least("node", "other").alias("node"),
-            F.greatest("node", "other").alias("other"),
-            F.when(F.col("node") < F.col("other"), F.col("n")).otherwise(F.col("m")).alias("n"),
-            F.when(F.col("node") < F.col("other"), F.col("m")).otherwise(F.col("n")).alias("m"),
-        )
-        .agg(F.count(F.lit(1)).alias("common"))
-        .where((F.col("kind") == 2) | enough)
-        .select("node", "other", "n", "m")
-        .distinct()
+    wanted = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+    beyond = F.greatest(least(F.col("n")), least(F.col("m"))) - F.col("kind")
+    met = minor.join(
+        every,
+        (F.col("kind") == F.col("same_kind"))
+        & (F.col("key") == F.col("same_key"))
+        & (F.col("own") != F.col("others"))
+        & ((F.col("others") == F.col("major")) | (F.col("node") < F.col("other")))
+        & _near_in_size(percent)
+        & (F.col("place") + wanted <= F.col("n"))
+        & (F.col("their_place") + wanted <= F.col("m"))
+        & (first == F.col("key"))
+        & (F.size(common) + beyond >= wanted),
     )
+    return met.select(
+        F.least("node", "other").alias("node"),
+        F.greatest("node", "other").alias("other"),
+        F.when(F.col("node") < F.col("other"), F.col("n")).otherwise(F.col("m")).alias("n"),
+        F.when(F.col("node") < F.col("other"), F.col("m")).otherwise(F.col("n")).alias("m"),
+    ).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -370,7 +418,7 @@ def near_copies(
 
     near = compare(_star_pairs(keys, percent))
     labels = saved(components(near), "components")
-    far = compare(_apart_pairs(keys, labels, percent))
+    far = compare(_apart_pairs(keys, nodes, labels, percent))
     if not far.isEmpty():
         labels = saved(components(near.unionAll(far)), "components")
     rows = signed.select("doc_id", "n", "node")
