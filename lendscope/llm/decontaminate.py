@@ -6,10 +6,19 @@ windows of the benchmark. Where windows meet, the values in the slots are compar
 alignment of document and item: a value of the item must always stand for one and the same
 value of the document. What shares the template by chance gives conflicting slots and is let
 go; what repeats or re-parameterises the item is reported.
+
+The typed template hinges on case and full stops, which tell names from other words. So a
+second form of every text stands beside it, without signs and case, in which only numbers and
+units are replaced: it finds copies without punctuation, in title case or in capitals. A place
+of the item counts as found if either form is. Items that say too little in both forms are
+looked for with their values as they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +45,12 @@ _UNIT = rf"(?i)(?<=<n>\s)(?:{UNITS})(?![\p{{L}}\p{{N}}])"
 _RIM = r"(?<=[\p{L}\p{N}>])[^\p{L}\p{N}\s<>]+(?=\s|$)|(?<=^|\s)[^\p{L}\p{N}\s<>]+(?=[\p{L}\p{N}<])"
 
 
+# The second form: numbers, units behind them, and signs, in lower case.
+_PLAIN_NUMBER = r"\p{N}[\p{N}.,:/-]*"
+_PLAIN_UNIT = rf"<n>(\s+)(?:{UNITS})(?![\p{{L}}\p{{M}}\p{{N}}])"
+_SIGNS = r"[^\p{L}\p{M}\p{N}\p{Z}\s<>]+"
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
@@ -49,6 +64,39 @@ def template(text: Column) -> Column:
     return words(F.lower(F.regexp_replace(united, _RIM, "")))
 
 
+def _bare(text: Column, number: str | None) -> Column:
+    """The text without case and signs, numbers replaced if a placeholder is given."""
+    lowered = F.replace(F.translate(F.lower(text), "<>", ""), F.lit("ß"), F.lit("ss"))
+    if number:
+        lowered = F.regexp_replace(lowered, _PLAIN_NUMBER, number)
+    return F.regexp_replace(lowered, _SIGNS, "")
+
+
+def folded(text: Column) -> Column:
+    """Words without case and signs, numbers and units replaced; words of signs only are left
+    out, so places are counted among these words."""
+    return words(F.regexp_replace(_bare(text, NUMBER), _PLAIN_UNIT, f"{NUMBER}$1{UNIT}"))
+
+
+def bare(text: Column) -> Column:
+    """The words of `folded`, in the same places, with their values."""
+    return words(_bare(text, None))
+
+
+#: Forms of a text by kind, and the words that stand in their places.
+TYPED, FOLDED, BARE = 1, 2, 3
+FORMS = {TYPED: template, FOLDED: folded, BARE: bare}
+VALUES = {TYPED: words, FOLDED: bare, BARE: bare}
+
+
+def _origins(text: Column, kind: int) -> Column:
+    """For each place of a form its place among the words of the text."""
+    places = F.transform(
+        words(text), lambda w, i: i + 1 if kind == TYPED else F.when(_bare(w, None) != "", i + 1)
+    )
+    return F.filter(places, lambda i: i.isNotNull())
+
+
 def _windows(hashes: Column, length: int) -> Column:
     """Hash of each run of `length` word hashes, by its first place."""
     return F.transform(
@@ -59,37 +107,66 @@ def _windows(hashes: Column, length: int) -> Column:
     )
 
 
-def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """item_id, length, place, hash, n_windows of the windows that say enough: at least half
-    of their words are no placeholders."""
-    items = (
-        benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(item_col).alias("item_id"), template(F.col(text_col)).alias("t"))
+def _telling(items: DataFrame, kind: int) -> DataFrame:
+    """item_id, kind, length, place, hash, origin of the windows of one form that say enough:
+    half of their words are no placeholders. Where values stand for themselves, a window needs
+    a letter. origin has the places of the text that a window begins at."""
+    formed = (
+        items.select("item_id", FORMS[kind](F.col("text")).alias("t"), _origins(F.col("text"), kind).alias("at"))
         .where(F.size("t") >= SHORTEST)
         .withColumn("length", F.least(F.size("t"), F.lit(WINDOW)))
         .withColumn("h", F.transform("t", lambda w: F.xxhash64(w)))
     )
-    placed = items.select(
-        "item_id",
-        "length",
-        "t",
-        "h",
-        F.explode(F.sequence(F.lit(1), F.size("t") - F.col("length") + 1)).alias("place"),
-    )
-    literal = F.size(
-        F.filter(
-            F.slice("t", F.col("place"), F.col("length")),
-            lambda w: ~w.isin(NUMBER, NAME, UNIT),
+    window = F.slice("t", F.col("place"), F.col("length"))
+    if kind == BARE:
+        enough = F.exists(window, lambda w: w.rlike(r"\p{L}"))
+    else:
+        said = F.size(F.filter(window, lambda w: ~w.isin(NUMBER, NAME, UNIT)))
+        enough = said * 2 >= F.col("length")
+    # Words that the form leaves out belong to the word behind them.
+    before = F.coalesce(F.get("at", F.col("place") - 2), F.lit(0))
+    return (
+        formed.select(
+            "*", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("length") + 1)).alias("place")
+        )
+        .where(enough)
+        .select(
+            "item_id",
+            F.lit(kind).alias("kind"),
+            "length",
+            "place",
+            F.xxhash64(F.slice("h", F.col("place"), F.col("length"))).alias("hash"),
+            F.sequence(before + 1, F.get("at", F.col("place") - 1)).alias("origin"),
         )
     )
-    telling = placed.where(literal * 2 >= F.col("length")).select(
-        "item_id",
-        "length",
-        "place",
-        F.xxhash64(F.slice("h", F.col("place"), F.col("length"))).alias("hash"),
+
+
+def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """item_id, kind, length, place, hash, origin, n_windows of the windows that say enough.
+
+    The places to be found are those of the typed form or, of items without any, those of the
+    next form that has some; origin has those of them that a window stands for.
+    """
+    items = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(item_col).alias("item_id"), F.col(text_col).alias("text")
+    )
+    both = _telling(items, TYPED).unionAll(_telling(items, FOLDED))
+    rest = items.join(both.select("item_id").distinct(), "item_id", "left_anti")
+    windows = both.unionAll(_telling(rest, BARE))
+    first = windows.groupBy("item_id").agg(F.min("kind").alias("kind"))
+    wanted = (
+        windows.join(first, ["item_id", "kind"])
+        .groupBy("item_id")
+        .agg(F.array_distinct(F.flatten(F.collect_set("origin"))).alias("wanted"))
+    )
+    return (
+        windows.join(wanted, "item_id")
+        .withColumn("origin", F.array_intersect("origin", "wanted"))
+        .withColumn("n_windows", F.size("wanted"))
+        .where(F.size("origin") > 0)
+        .drop("wanted")
+        .distinct()
     )
-    totals = telling.groupBy("item_id").agg(F.countDistinct("place").alias("n_windows"))
-    return telling.join(totals, "item_id").distinct()
 
 
 def find_leaks(
@@ -107,52 +184,78 @@ def find_leaks(
 
     coverage is the share of the item's windows found; n_changed counts slots whose value
     differs from the item's. Rows with a null id or text hold nothing; rows that share an id
-    are one document. Items of fewer than four words, or without telling windows, cannot be
-    recognised. Empty tables give an empty result; other columns are ignored.
+    are one document. Items of fewer than four words, or of numbers only, cannot be
+    recognised, nor can names be told from other words where a copy has other names and another
+    case. Empty tables give an empty result; other columns are ignored.
     """
     items = saved(benchmark_windows(benchmark, item_col, item_text_col), "leaks")
-    # At most as many as a window has words.
-    lengths = sorted(r[0] for r in items.select("length").distinct().collect()) or [WINDOW]
+    # At most three times as many as a window has words.
+    lengths = sorted(map(tuple, items.select("kind", "length").distinct().collect()))
+    lengths = lengths or [(TYPED, WINDOW)]
+    kinds = sorted({kind for kind, _ in lengths})
     usable = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    hashed = usable.select(
-        "doc_id", F.transform(template(F.col("text")), lambda w: F.xxhash64(w)).alias("h")
+    hashed = {
+        kind: usable.select(
+            "doc_id", F.transform(FORMS[kind](F.col("text")), lambda w: F.xxhash64(w)).alias("h")
+        )
+        for kind in kinds
+    }
+    every = _union(
+        hashed[kind].select(
+            "doc_id",
+            F.lit(kind).alias("kind"),
+            F.lit(n).alias("length"),
+            F.posexplode(_windows(F.col("h"), n)),
+        )
+        for kind, n in lengths
     )
-    made = [
-        hashed.select("doc_id", F.lit(n).alias("length"), F.posexplode(_windows(F.col("h"), n)))
-        for n in lengths
-    ]
-    every = made[0]
-    for more in made[1:]:
-        every = every.unionAll(more)
     met = saved(
         every.withColumnsRenamed({"pos": "at", "col": "hash"})
-        .join(small_table(items), ["length", "hash"])
-        .select("doc_id", "item_id", "n_windows", "length", "place", (F.col("at") + 1).alias("at")),
+        .join(small_table(items), ["kind", "length", "hash"])
+        .select(
+            "doc_id", "item_id", "n_windows", "kind", "length", "place", "origin", (F.col("at") + 1).alias("at")
+        ),
         "leaks",
     )
     # What falls short even if all alignments are taken together needs no look at its slots.
     likely = (
-        met.groupBy("doc_id", "item_id", "n_windows")
-        .agg(F.countDistinct("place").alias("found"))
+        met.select("doc_id", "item_id", "n_windows", F.explode("origin").alias("origin"))
+        .groupBy("doc_id", "item_id", "n_windows")
+        .agg(F.countDistinct("origin").alias("found"))
         .where(F.col("found") >= F.col("n_windows") * coverage)
         .select("doc_id", "item_id")
     )
     aligned = saved(
         met.join(likely, ["doc_id", "item_id"])
-        .groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("place")).alias("shift"))
-        .agg(F.array_sort(F.collect_set("place")).alias("places"), F.max("length").alias("length")),
+        .groupBy("doc_id", "item_id", "n_windows", "kind", (F.col("at") - F.col("place")).alias("shift"))
+        .agg(
+            F.array_sort(F.collect_set("place")).alias("places"),
+            F.array_distinct(F.flatten(F.collect_set("origin"))).alias("origins"),
+            F.max("length").alias("length"),
+        ),
         "leaks",
     )
     ids = saved(aligned.select("doc_id").distinct(), "leaks")
-    texts = usable.join(small_table(ids), "doc_id", "left_semi").select(
-        "doc_id", words(F.col("text")).alias("doc_words")
+    found = usable.join(small_table(ids), "doc_id", "left_semi")
+    texts = _union(
+        found.select(
+            "doc_id",
+            F.lit(kind).alias("kind"),
+            VALUES[kind](F.col("text")).alias("doc_words"),
+            _origins(F.col("text"), kind).alias("doc_at"),
+        )
+        for kind in kinds
     )
-    item_texts = benchmark.where(F.col(item_text_col).isNotNull()).select(
-        F.col(item_col).alias("item_id"),
-        words(F.col(item_text_col)).alias("item_words"),
-        template(F.col(item_text_col)).alias("item_template"),
+    item_texts = _union(
+        benchmark.where(F.col(item_text_col).isNotNull()).select(
+            F.col(item_col).alias("item_id"),
+            F.lit(kind).alias("kind"),
+            VALUES[kind](F.col(item_text_col)).alias("item_words"),
+            FORMS[kind](F.col(item_text_col)).alias("item_template"),
+        )
+        for kind in kinds
     )
     # Places of the item that lie in a matched window and hold a placeholder.
     inside = F.array_distinct(
@@ -170,15 +273,16 @@ def find_leaks(
         ),
     )
     compared = (
-        aligned.join(item_texts, "item_id")
-        .join(texts, "doc_id")
+        aligned.join(item_texts, ["item_id", "kind"])
+        .join(texts, ["doc_id", "kind"])
         .withColumn("slots", slots)
         .select(
             "doc_id",
             "item_id",
             "n_windows",
-            "places",
-            (F.array_min("places") + F.col("shift")).alias("first_word"),
+            "kind",
+            "origins",
+            F.get("doc_at", F.array_min("places") + F.col("shift") - 1).alias("first_word"),
             F.size("slots").alias("n_slots"),
             # Different values of the document for one value of the item.
             (
@@ -189,21 +293,30 @@ def find_leaks(
         )
         .where(F.col("n_conflicts") <= F.col("n_slots") * conflicts)
     )
+
+    def by_typed(of, name: str) -> Column:
+        """Of the typed alignments, if there are any."""
+        return F.coalesce(of(F.when(F.col("kind") == TYPED, F.col(name))), of(name)).alias(name)
+
     return (
-        compared.withColumn("place", F.explode("places"))
+        compared.withColumn("origin", F.explode("origins"))
         .groupBy("doc_id", "item_id", "n_windows")
         .agg(
-            (F.countDistinct("place") / F.first("n_windows")).alias("coverage"),
+            (F.countDistinct("origin") / F.first("n_windows")).alias("coverage"),
             F.min("first_word").alias("first_word"),
-            F.max("n_slots").alias("n_slots"),
-            F.min("n_conflicts").alias("n_conflicts"),
-            F.min("n_changed").alias("n_changed"),
+            by_typed(F.max, "n_slots"),
+            by_typed(F.min, "n_conflicts"),
+            by_typed(F.min, "n_changed"),
         )
         .where(F.col("coverage") >= coverage)
         .drop("n_windows")
     )
 
 
+def _union(frames: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, frames)
+
+
 def _value(word: Column) -> Column:
     """A word as slots compare it: lower case, without signs at its rim."""
     return F.regexp_replace(F.lower(word), _RIM, "")

@@ -64,6 +64,29 @@ def test_leaks_are_found_and_clean_rows_left_alone(spark, benchmark):
     assert kept[0].item_id == 3
 
 
+NAMES = "Anna Berta, Clara Dora; Emil Fritz - Gustav Hans: Ida Jakob."
+SUM = "Compute 12 5 3 7 2 99 14"
+
+
+def test_leaks_in_other_case_and_without_signs_are_found(spark):
+    """Names are told by case and full stops, which a copy need not have. Also items that are
+    nearly all names or numbers are found."""
+    german = "Gestern kaufte Frau Weiß im Süden. Die Straße war leer, und der Hund lief 3 km weit. Dann kam Regen."
+    bare = "".join(c for c in QUESTION + " " + german if c.isalnum() or c == " ")
+    rows = [
+        (30, PROSE + QUESTION.title()), (31, german.title()), (32, german.upper() + PROSE),
+        (33, PROSE + bare), (34, CHANGED.title()), (35, "see " + NAMES + " and so on"),
+        (36, NAMES.lower()), (37, PROSE + SUM), (38, SUM.replace("12", "13")), (39, PROSE.title() * 5),
+        (40, "Otto Paul, Quirin Rosa; Sven Theo - Udo Viktor: Willi Xaver."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, QUESTION), (2, german), (3, NAMES), (4, SUM)], "item_id long, text string")
+    got = _found(docs, items)
+    assert set(got) == {(30, 1), (31, 2), (32, 2), (33, 1), (33, 2), (34, 1), (35, 3), (36, 3), (37, 4)}
+    assert got[30, 1].n_changed == 0 and got[30, 1].first_word == len(PROSE.split()) + 1
+    assert got[34, 1].n_changed == 7
+
+
 def test_leaks_of_empty_tables(spark, benchmark):
     docs = spark.createDataFrame([(1, QUESTION)], "doc_id long, text string")
     assert not _found(docs.limit(0), benchmark)
