@@ -232,14 +232,16 @@ def near_duplicates(
     groups = saved(
         narrow.where("usable")
         .groupBy("h1", "h2")
-        .agg(F.min("vec_id").alias("point"), F.count(F.lit(1)).alias("copies")),
+        # Rows that share a vec_id may hold different vectors, so a point has an id of its own.
+        .agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select("h1", "h2", F.xxhash64("h1", "h2").alias("point"), "first", "copies"),
         "points",
     )
     points = saved(
         given.where("usable")
-        .join(groups.withColumnRenamed("point", "vec_id"), ["vec_id", "h1", "h2"])
-        .dropDuplicates(["vec_id"])
-        .select("label", F.col("vec_id").alias("point"), "copies", "vector"),
+        .join(groups.withColumnRenamed("first", "vec_id"), ["vec_id", "h1", "h2"])
+        .dropDuplicates(["h1", "h2"])
+        .select("label", "point", "copies", "vector"),
         "points",
     )
     cells = saved(_cells(points, cosine, tables), "cells")
@@ -289,15 +291,26 @@ def near_duplicates(
     found = saved(pairs.mapInArrow(compare, "point long, root long, n long"), "links")
     counts = found.groupBy("point").agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("point").alias("a"), F.col("root").alias("b")))
+    named = saved(
+        groups.select("point", "first").join(joined.withColumnRenamed("node", "point"), "point"),
+        "links",
+    )
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
     results = saved(
-        counts.join(joined.withColumnRenamed("node", "point"), "point", "full"), "links"
+        counts.join(
+            named.join(least, "component").select("point", F.col("least").alias("component")),
+            "point",
+            "full",
+        ),
+        "links",
     )
     placed = narrow.join(groups, ["h1", "h2"], "left").select(
         "vec_id",
         F.when(F.col("usable"), F.col("point")).alias("point"),
+        F.when(F.col("usable"), F.col("first")).alias("first"),
         F.when(F.col("usable"), F.col("copies")).alias("copies"),
     )
-    component = F.coalesce("component", "point", "vec_id")
+    component = F.coalesce("component", "first", "vec_id")
     return placed.join(results, "point", "left").select(
         "vec_id",
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("n", F.lit(0))).cast("long").alias("n_links"),

@@ -72,6 +72,13 @@ def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
         yield np.unique(mixed)
 
 
+def _name(shingles: np.ndarray) -> int:
+    """64-bit hash of a whole set."""
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+
+
 def least_overlap(n, percent: int):
     """ceil(t * n), for integers and columns alike."""
     return (n * percent + 99) // 100
@@ -80,7 +87,6 @@ def least_overlap(n, percent: int):
 def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, limit: int) -> DataFrame:
     """doc_id, n, node, counted, shingles (those in the counted part, or as many as a prefix
     needs) of every row. A node is a 64-bit hash of a whole set; an empty set has none."""
-    from xxhash import xxh3_64_intdigest
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +95,7 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                 n, node, counted, lists = [], [], [], []
                 for shingles in shingle_sets(texts, words):
                     size = len(shingles)
-                    name = xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if size else None
+                    name = _name(shingles) if size else None
                     low = int(np.searchsorted(shingles, np.uint64(limit)))
                     n.append(size)
                     node.append(name)
@@ -121,14 +127,22 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
 
 
 def _whole_sets(docs: DataFrame, id_col: str, text_col: str, words: int, owners: DataFrame) -> DataFrame:
-    """node, shingles for every owner (doc_id, node): a document that stands for its node."""
+    """node, shingles for every owner (doc_id, node): a document that stands for its node.
+
+    Of rows that share the owner's id only those that hold the node's set count.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            wanted = batch.column(0).to_pylist()
             for start, texts in slices(batch.column(1).to_pylist()):
-                lists = [s.view(np.int64) for s in shingle_sets(texts, words)]
+                made = zip(wanted[start : start + len(texts)], shingle_sets(texts, words), strict=True)
+                held = [(node, s.view(np.int64)) for node, s in made if len(s) and _name(s) == node]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(lists, pa.list_(pa.int64()))],
+                    [
+                        pa.array([node for node, _ in held], pa.int64()),
+                        pa.array([s for _, s in held], pa.list_(pa.int64())),
+                    ],
                     names=["node", "shingles"],
                 )
 

@@ -118,6 +118,21 @@ def test_ngram_join_of_odd_rows(spark):
     ]
 
 
+def test_ngram_join_of_different_texts_under_one_id(spark):
+    """Each row links by its own text, whichever of the texts of its id is met first."""
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for k in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, 60)]
+        other = " ".join(f"v{x}" for x in rng.integers(0, 10**6, 40))
+        texts = [" ".join(base), other] if k % 2 else [other, " ".join(base)]
+        rows += [(2 * k, t) for t in texts] + [(2 * k + 1, " ".join([*base, "end"]))]
+        want[2 * k + 1] = 2 * k
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.near_copies(docs).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id % 2} == want
+
+
 def test_boundary_is_the_cheapest():
     costs = [(5, 1.0, 9.0), (6, 2.0, 8.0), (7, 9.0, 3.0), (8, 20.0, 4.0)]
     assert ngram_join.choose_boundary(costs) == 7
@@ -186,6 +201,15 @@ def test_vectors_that_link_with_nothing(spark):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_different_vectors_under_one_id(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 1), (1, [0.0, 1.0, 0.0], 1), (2, [1.0, 0.01, 0.0], 1), (3, [0.01, 1.0, 0.0], 1),
+            (4, [0.0, 0.0, 1.0], 1), (5, [0.0, 1.0, 0.0], 2), (5, [0.0, 1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 0, 4, True),
+                   (5, 0, 5, True), (5, 2, 1, False)]
+
+
 def test_registered_queries_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = queries.op3_jaccard_join(spark, SF).collect()
