@@ -105,7 +105,8 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                         lists.append([])
                     else:
                         needed = size - least_overlap(size, percent) + 2
-                        lists.append(shingles[: max(low, needed)].view(np.int64))
+                        # Signed numbers in the order of the unsigned hashes, by which lists are cut.
+                        lists.append((shingles[: max(low, needed)] ^ np.uint64(1 << 63)).view(np.int64))
                         seen.add(name)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -176,7 +177,7 @@ def _shared(signed: DataFrame, limit: int) -> DataFrame:
         )
         .where("least <> most")
     )
-    counted = F.col("shingle").between(0, limit - 1)
+    counted = F.col("shingle") < limit - (1 << 63)
     ordered = (
         common.groupBy("node")
         .agg(

@@ -133,6 +133,26 @@ def test_ngram_join_of_different_texts_under_one_id(spark):
     assert {r.doc_id: r.component_id for r in got if r.doc_id % 2} == want
 
 
+def test_every_set_has_the_order_by_which_lists_are_cut(spark):
+    """Behind the counted part shingles follow by unsigned hash, also those from 2^63 on."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, int(n))) for n in rng.integers(9, 24, 60)]
+    rows = [(2 * i + k, t + " end" * k) for i, t in enumerate(texts) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (40, 85):
+        limit = int(0.1 * 2**64)
+        signed = ngram_join._signature(docs, "doc_id", "text", 4, percent, limit).cache()
+        low = 2**63 - 1  # the bits that tell shingles apart, signed or not
+        ranks = {int(h) & low: int(h) for _, t in rows for h in next(ngram_join.shingle_sets([t], 4))}
+        seen = 0
+        for r in ngram_join._shared(signed, limit).collect():
+            hashes = [ranks[s["shingle"] & low] for s in r.shared if s["part"] == 1]
+            assert hashes == sorted(hashes) and all(h >= limit for h in hashes)
+            assert all(ranks[s["shingle"] & low] < limit for s in r.shared if s["part"] == 0)
+            seen += any(h < 2**63 for h in hashes) and any(h >= 2**63 for h in hashes)
+        assert seen or percent == 85
+
+
 def test_boundary_is_the_cheapest():
     costs = [(5, 1.0, 9.0), (6, 2.0, 8.0), (7, 9.0, 3.0), (8, 20.0, 4.0)]
     assert ngram_join.choose_boundary(costs) == 7
