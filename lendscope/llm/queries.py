@@ -173,9 +173,9 @@ group by conv_id
 @_query
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    # The table has no paths: source and language are the directories of a document.
+    # The table has no paths, and documents of one source do not share a licence: none is inherited.
     path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licenses.scan(documents, "doc_id", "text", path)
+    return licenses.scan(documents, "doc_id", "text", path, inherit=False)
 
 
 @_query

@@ -201,6 +201,14 @@ def test_licence_query_is_native_and_whole(spark):
             assert got[doc_id].origin != "own"
 
 
+def test_licence_query_inherits_nothing_from_documents_of_one_source(spark, tmp_path):
+    rows = [(1, MIT, "en", "web"), (2, "some prose", "en", "web"), (3, "more prose", "en", "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.license, r.origin) for r in queries.op6_licenses(spark, str(tmp_path)).collect()}
+    assert got == {1: ("MIT", "own"), 2: (None, "none"), 3: (None, "none")}
+
+
 def _made_up(rng, n):
     words = ["river", "boat", "hill", "quiet", "long", "way", "home", "stone", "garden", "evening"]
     good, bad = [], []
