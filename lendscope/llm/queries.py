@@ -18,6 +18,7 @@ from lendscope.llm import (
     sharding,
     token_counts,
     token_files,
+    warc,
 )
 from lendscope.llm.common import table
 from lendscope.sources.scratch import scratch_folder
@@ -216,3 +217,24 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_query
+def op11_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.resolved(warc.read_records(spark, folder))
+
+
+ORACLE["op11_seekable_warc"] = """
+with given as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages
+), targets as (
+  select html, max(page_id) as target, count(*) as copies from given where payload_bytes >= 1000 group by html
+)
+select g.page_id, g.payload_bytes, sha1(g.html) as payload_digest,
+  case when t.copies > 1 and g.page_id is distinct from t.target and t.target is not null
+    then 'revisit' else 'response' end as record_type,
+  case when t.copies > 1 and g.page_id is distinct from t.target then t.target end as refers_to
+from given g left join targets t on t.html = g.html
+"""
