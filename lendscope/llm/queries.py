@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import (
     chat,
+    collocations,
     decontaminate,
     lattice,
     licenses,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     sharding,
     token_counts,
@@ -238,3 +240,121 @@ select g.page_id, g.payload_bytes, sha1(g.html) as payload_digest,
   case when t.copies > 1 and g.page_id is distinct from t.target then t.target end as refers_to
 from given g left join targets t on t.html = g.html
 """
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = """
+with given as (
+  select conv_id, role, text,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as pos
+  from (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null
+  )
+), convs as (
+  select conv_id, conv_id - conv_id % 100 as base,
+    -- crc32 of the decimal id, bit by bit
+    xor(list_reduce(
+      [4294967295] || list_transform(range(length(conv_id::varchar)),
+        lambda i: ascii(substr(conv_id::varchar, i + 1, 1))),
+      lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)
+    ), 4294967295) % 6 as h
+  from (select distinct conv_id from given)
+), rebuilt as (
+  select conv_id, role, text, row_number() over (partition by conv_id order by side, pos) as depth
+  from (
+    select c.conv_id, 0 as side, g.pos, g.role, g.text
+    from convs c join given g on g.conv_id = c.base and g.pos <= c.h
+    union all
+    select c.conv_id, 1, g.pos, g.role, g.text
+    from convs c join given g on g.conv_id = c.conv_id and g.pos > c.h
+  )
+), paths as (
+  select conv_id, depth, length(text) as chars,
+    sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '') over (
+      partition by conv_id order by depth rows unbounded preceding)) as key
+  from rebuilt
+  union all
+  select conv_id, 0, 0, '' from convs
+), nodes as (
+  select key, depth, min(conv_id) as conv_id, count(*) as n_convs, max(chars) as chars
+  from paths group by key, depth
+), lineage as (
+  select n.key, n.depth, p.key as top_key, p.depth as top_depth
+  from nodes n join paths p on p.conv_id = n.conv_id and p.depth <= n.depth
+), children as (
+  select top_key, top_depth, count(*) as n_children
+  from lineage where depth = top_depth + 1 group by top_key, top_depth
+), sums as (
+  select l.top_key, l.top_depth, count(*) filter (where c.n_children is null) as n_leaves,
+    sum((n.n_convs - 1) * n.chars) as saved_tokens
+  from lineage l join nodes n on n.key = l.key and n.depth = l.depth
+  left join children c on c.top_key = l.key and c.top_depth = l.depth
+  group by l.top_key, l.top_depth
+), ends as (
+  select p.key, p.depth, string_agg(p.conv_id::varchar, ',' order by p.conv_id) as ids
+  from paths p join (select conv_id, max(depth) as depth from paths group by conv_id) last
+    on last.conv_id = p.conv_id and last.depth = p.depth
+  group by p.key, p.depth
+)
+select n.conv_id, cast(n.depth as bigint) as depth, parent.conv_id as parent_conv_id, n.n_convs,
+  coalesce(c.n_children, 0) as n_children, s.n_leaves,
+  cast(s.saved_tokens as bigint) as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from nodes n
+join sums s on s.top_key = n.key and s.top_depth = n.depth
+left join children c on c.top_key = n.key and c.top_depth = n.depth
+left join lineage up on up.key = n.key and up.depth = n.depth and up.top_depth = n.depth - 1
+left join nodes parent on parent.key = up.top_key and parent.depth = up.top_depth
+left join ends e on e.key = n.key and e.depth = n.depth
+"""
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5)
+    return collocations.best(found, 2000)
+
+
+ORACLE["op12_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) as phrase
+  from words cross join (select unnest(range(1, 6)) as k)
+), counted as (
+  select lang, k, phrase, count(*) as f from grams group by lang, k, phrase
+), totals as (
+  select lang, cast(sum(f) as bigint) as n from counted where k = 1 group by lang
+), candidates as (
+  select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counted where k >= 2 and f >= 100
+), cuts as (
+  select lang, k, phrase, a, j, array_to_string(w[1:j], ' ') as front, array_to_string(w[j + 1 :], ' ') as rest
+  from (select *, unnest(range(1, k)) as j from candidates)
+), scored as (
+  select c.lang, c.phrase, c.a, c.j, x.f as l, y.f as r, t.n,
+    cast((1000::hugeint * c.a * t.n) // (x.f::hugeint * y.f) as bigint) as score
+  from cuts c join totals t on t.lang = c.lang
+  join counted x on x.lang = c.lang and x.k = c.j and x.phrase = c.front
+  join counted y on y.lang = c.lang and y.k = c.k - c.j and y.phrase = c.rest
+), lowest as (
+  select *, row_number() over (partition by lang, phrase order by score, j) as place from scored
+), kept as (
+  select lang, phrase, a, l, r, n, score from lowest where place = 1 and not exists (
+    select 1 from candidates b
+    where b.lang = lowest.lang and 100 * b.a >= 100 * lowest.a and len(b.phrase) > len(lowest.phrase)
+      and contains(' ' || b.phrase || ' ', ' ' || lowest.phrase || ' '))
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""

@@ -103,17 +103,18 @@ def test_a_record_is_read_from_its_own_frame(spark, written):
     assert bytes(got[12].payload).decode() == ROWS[-1][2]
 
 
-def test_frames_and_bundles_end_where_they_should(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(warc, "FRAME_BYTES", 600)
-    frames = [(10, 20), (5, 700)]
-    table = warc.seek_table(frames)
-    (tmp_path / "b").write_bytes(b"x" * 15 + table)
+def test_frames_end_behind_the_record_that_fills_them(tmp_path, monkeypatch):
     import pyarrow.fs as pafs
 
-    with pafs.LocalFileSystem().open_input_file(str(tmp_path / "b")) as source:
-        assert warc.read_seek_table(source) == [(0, 10, 20), (10, 5, 700)]
+    monkeypatch.setattr(warc, "FRAME_BYTES", 600)
+    fs = pafs.LocalFileSystem()
+    bundle = warc._Bundle(fs, str(tmp_path))
+    assert [bundle.add(b"a" * n) for n in (500, 99, 1, 5000, 7)] == [(0, 0), (0, 500), (0, 599), (1, 0), (2, 0)]
+    bundle.close()
+    with fs.open_input_file(str(tmp_path / bundle.name)) as source:
+        assert [size for _, _, size in warc.read_seek_table(source)] == [600, 5000, 7]
     (tmp_path / "c").write_bytes(b"x" * 40)
-    with pafs.LocalFileSystem().open_input_file(str(tmp_path / "c")) as source, pytest.raises(ValueError):
+    with fs.open_input_file(str(tmp_path / "c")) as source, pytest.raises(ValueError, match="seek table"):
         warc.read_seek_table(source)
 
 
