@@ -6,10 +6,11 @@ a phrase lie in one range; a range unites its automata and sums their counts. Th
 parts of a phrase are found by composing an automaton of the parts with that of their range.
 
 What cannot reach the least count is not counted: a phrase only occurs as often as its least
-frequent word, or pair. Words first, then pairs of frequent words, then phrases of frequent pairs.
-Which words (pairs) are frequent travels as a bitmap of fixed size, by hash: a collision lets a
-rare word pass and never stops a frequent one, and counts are by the words themselves, so they
-stay exact at any size of the vocabulary.
+frequent word, or pair. So words are counted first, then 64-bit hashes of the pairs of frequent
+words, as plain numbers, and then the phrases whose pairs are all frequent. Which words (pairs)
+are frequent travels as a bitmap of bounded size, by hash: a collision lets a rare one pass and
+never stops a frequent one. Phrases are counted by their words, so counts stay exact at any size
+of the vocabulary.
 
 The prefixes that bound the ranges come from the exact counts of words; a word that alone is more
 than a range is cut by the word that follows it.
@@ -147,28 +148,22 @@ def shards(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[st
 # --- what a shard counts
 
 
-def _hash(lang: str, phrase: bytes) -> int:
-    """As `xxhash64` of lang, a zero byte and the phrase."""
-    return xxhash.xxh64_intdigest(lang.encode() + b"\0" + phrase, 42)
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """As `xxhash64` of lang, a zero byte and the word."""
+    seed, digest = lang.encode() + b"\0", xxhash.xxh64_intdigest
+    return np.fromiter((digest(seed + word, 42) for word in words), np.uint64, len(words))
 
 
-def _marked(bitmap: np.ndarray, lang: str, phrases: Iterable[bytes]) -> np.ndarray:
-    seed = lang.encode() + b"\0"
-    digest = xxhash.xxh64_intdigest
-    at = np.fromiter((digest(seed + phrase, 42) for phrase in phrases), np.uint64)
-    at &= np.uint64(8 * len(bitmap) - 1)
-    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+def _pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    mixed = left * np.uint64(0x9E3779B97F4A7C15) + right
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
 
 
-def _frequent(shard: Shard, lang: str, bitmap: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Frequent words in ascending order, and for each word number its place there or -1."""
-    words = shard.words()
-    good = _marked(bitmap, lang, words)
-    good[0] = False
-    numbers = sorted(np.flatnonzero(good).tolist(), key=words.__getitem__)
-    place = np.full(len(words), -1, np.int64)
-    place[numbers] = np.arange(len(numbers))
-    return [words[i] for i in numbers], place
+def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def word_counts(shard: Shard) -> tuple[list[bytes], np.ndarray]:
@@ -176,48 +171,52 @@ def word_counts(shard: Shard) -> tuple[list[bytes], np.ndarray]:
     return shard.words()[1:], counts[1:]
 
 
-def _pairs(words: list[bytes], places: np.ndarray):
-    """Where pairs of frequent words begin, the distinct pairs ascending, and which one each is."""
-    at = np.flatnonzero((places[:-1] >= 0) & (places[1:] >= 0))
-    codes, which = np.unique(places[at] * max(len(words), 1) + places[at + 1], return_inverse=True)
-    keys = [(words[c // len(words)], words[c % len(words)]) for c in codes.tolist()]
-    return at, keys, which
-
-
-def _tally(keys: list[Phrase], which: np.ndarray, counted: np.ndarray) -> list[tuple[Phrase, int]]:
-    counts = np.bincount(which[counted], minlength=len(keys)).tolist()
-    return [(key, count) for key, count in zip(keys, counts, strict=True) if count]
+def _frequent_pairs(shard: Shard, lang: str, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which word numbers are frequent, where two such words meet, and the hash of each meeting."""
+    hashes = _hashes(lang, shard.words())
+    good = _marked(bitmap, hashes)
+    good[0] = False
+    ids = shard.ids()
+    at = np.flatnonzero(good[ids[:-1]] & good[ids[1:]])
+    return good, at, _pair_hashes(hashes[ids[at]], hashes[ids[at + 1]])
 
 
-def pair_counts(shard: Shard, lang: str, bitmap: np.ndarray) -> list[tuple[Phrase, int]]:
-    """Pairs of frequent words with their counts, ascending."""
-    words, place = _frequent(shard, lang, bitmap)
-    at, keys, which = _pairs(words, place[shard.ids()])
-    return _tally(keys, which, at + 1 >= shard.skip)
+def pair_hash_counts(shard: Shard, lang: str, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the pairs of frequent words, and how often each occurs."""
+    _, at, hashes = _frequent_pairs(shard, lang, bitmap)
+    return np.unique(hashes[at + 1 >= shard.skip], return_counts=True)
 
 
 def phrase_counts(
     shard: Shard, lang: str, bitmap: np.ndarray, pair_bitmap: np.ndarray, longest: int
 ) -> list[tuple[Phrase, int]]:
-    """Phrases of 3 to `longest` words, all pairs in them frequent, with their counts, ascending."""
-    words, place = _frequent(shard, lang, bitmap)
-    places = place[shard.ids()]
-    at, keys, which = _pairs(words, places)
-    good = _marked(pair_bitmap, lang, (b" ".join(key) for key in keys))
-    linked = np.zeros(max(len(places), 1), bool)
-    linked[at] = good[which]
-    at, which = at[good[which]], which[good[which]]
+    """Phrases of 2 to `longest` words, all pairs in them frequent, with their counts, ascending."""
+    ids = shard.ids()
+    good, at, hashes = _frequent_pairs(shard, lang, bitmap)
+    at = at[_marked(pair_bitmap, hashes)]
+    linked = np.zeros(max(len(ids), 1), bool)
+    linked[at] = True
+    words = shard.words()
+    numbers = sorted(np.flatnonzero(good).tolist(), key=words.__getitem__)
+    place = np.zeros(len(words), np.int64)
+    place[numbers] = np.arange(len(numbers))
+    words = [words[i] for i in numbers]
+    places = place[ids]
+    keys: list[Phrase] = [(word,) for word in words]
+    which = places[at]
     found: list[tuple[Phrase, int]] = []
-    for length in range(3, longest + 1):
-        goes_on = at + length - 2 < len(places)
-        at, which = at[goes_on], which[goes_on]
-        goes_on = linked[at + length - 2]
-        at, which = at[goes_on], which[goes_on]
+    for length in range(2, longest + 1):
+        if length > 2:
+            goes_on = at + length - 2 < len(places)
+            at, which = at[goes_on], which[goes_on]
+            goes_on = linked[at + length - 2]
+            at, which = at[goes_on], which[goes_on]
         if not len(at):
             break
         codes, which = np.unique(which * len(words) + places[at + length - 1], return_inverse=True)
         keys = [(*keys[c // len(words)], words[c % len(words)]) for c in codes.tolist()]
-        found += _tally(keys, which, at + length - 1 >= shard.skip)
+        counts = np.bincount(which[at + length - 1 >= shard.skip], minlength=len(keys)).tolist()
+        found += [(key, count) for key, count in zip(keys, counts, strict=True) if count]
     return sorted(found)
 
 
@@ -296,30 +295,18 @@ def united(blobs: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _phrases(blobs: DataFrame) -> DataFrame:
-    """lang, phrase (words joined by blanks), n_words, a of every phrase."""
+def word_hash() -> Column:
+    return F.xxhash64(F.concat(F.col("lang"), F.lit("\0"), F.col("word")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = [
-                    (row["lang"], b" ".join(phrase).decode(), len(phrase), n)
-                    for phrase, n in Transducer.from_bytes(row["blob"]).items()
-                ]
-                yield _batch(found, lang=pa.string(), phrase=pa.string(), n_words=pa.int32(), a=pa.int64())
-
-    return blobs.mapInArrow(run, "lang string, phrase string, n_words int, a long")
 
-
-def bitmap_of(keys: DataFrame, key: str) -> np.ndarray:
-    """A bit for each (lang, key) by hash; bounded by `MOST_BITS` whatever the number of keys."""
+def bitmap_of(hashes: DataFrame) -> np.ndarray:
+    """A bit for each hash (column `hash`); bounded by `MOST_BITS` whatever their number."""
     bits = LEAST_BITS
-    wanted = 16 * keys.count()
+    wanted = 16 * hashes.count()
     while bits < min(wanted, MOST_BITS):
         bits *= 2
-    at = F.xxhash64(F.concat(F.col("lang"), F.lit("\0"), F.col(key))).bitwiseAND(F.lit(bits - 1))
     rows = (
-        keys.select(at.alias("at"))
+        hashes.select(F.col("hash").bitwiseAND(F.lit(bits - 1)).alias("at"))
         .groupBy(F.expr("at div 8").alias("byte"))
         .agg(F.bit_or(F.expr("shiftleft(1, cast(at % 8 as int))")).alias("value"))
         .toPandas()
@@ -420,6 +407,23 @@ def _all_words(texts: DataFrame) -> DataFrame:
     return saved(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "collocations")
 
 
+def _frequent_pair_hashes(texts: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
+    """Hashes of pairs that occur `least` times; plain numbers, added up before and after the
+    shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, shard in shards(batches, 1):
+            hashes, counts = pair_hash_counts(shard, lang, bitmap)
+            for start in range(0, len(hashes), 100_000):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[start : start + 100_000].view(np.int64)), pa.array(counts[start : start + 100_000], pa.int64())],
+                    names=["hash", "n"],
+                )
+
+    counted = texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return saved(counted.where(F.col("n") >= least).select("hash"), "collocations")
+
+
 def _word_blobs(words: DataFrame, bounds: Bounds) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -522,23 +526,20 @@ def collocations(
     by_lang = words.groupBy("lang").agg(F.sum("n").alias("n"))
     by_lang = saved(by_lang, "collocations")
     frequent = saved(words.where(F.col("n") >= least), "collocations")
-    bitmap = bitmap_of(frequent, "word")
+    bitmap = bitmap_of(frequent.select(word_hash().alias("hash")))
     # One number for each language.
     totals = {row["lang"]: row["n"] for row in by_lang.collect()}
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = range_bounds(frequent, totals, 2 * parts)
 
-    pairs = united(
-        _shard_blobs(texts, 1, bounds, lambda shard, lang: pair_counts(shard, lang, bitmap)), least
-    )
-    pair_bitmap = bitmap_of(_phrases(pairs), "phrase")
-    longer = _shard_blobs(
+    pair_bitmap = bitmap_of(_frequent_pair_hashes(texts, bitmap, least))
+    phrases = _shard_blobs(
         texts,
         longest - 1,
         bounds,
         lambda shard, lang: phrase_counts(shard, lang, bitmap, pair_bitmap, longest),
     )
-    counted = united(_word_blobs(frequent, bounds).unionByName(pairs).unionByName(longer), least)
+    counted = united(_word_blobs(frequent, bounds).unionByName(phrases), least)
 
     cuts = _cuts(counted, bounds)
     answers = _part_counts(cuts, counted)

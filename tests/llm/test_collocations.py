@@ -124,16 +124,15 @@ def test_shards_count_every_phrase_once(monkeypatch):
     monkeypatch.setattr(collocations, "SLICE_BYTES", 9)
     rows = [(t[:400] if t else t, lang or "und") for t, lang in ROWS]
     all_bits = np.full(collocations.LEAST_BITS // 8, 255, np.uint8)
-    got = defaultdict(Counter)
-    for overlap, longest in [(1, 2), (4, 5)]:
-        for lang, shard in collocations.shards(iter([_batch(rows[:5]), _batch(rows[5:])]), overlap):
-            if longest == 2:
-                items = collocations.pair_counts(shard, lang, all_bits)
-            else:
-                items = collocations.phrase_counts(shard, lang, all_bits, all_bits, longest)
-            assert items == sorted(items)
-            for phrase, n in items:
-                got[lang][tuple(w.decode() for w in phrase)] += n
+    got, pairs = defaultdict(Counter), 0
+    for lang, shard in collocations.shards(iter([_batch(rows[:5]), _batch(rows[5:])]), 4):
+        items = collocations.phrase_counts(shard, lang, all_bits, all_bits, 5)
+        assert items == sorted(items)
+        for phrase, n in items:
+            got[lang][tuple(w.decode() for w in phrase)] += n
+    for lang, shard in collocations.shards(iter([_batch(rows)]), 1):
+        pairs += int(collocations.pair_hash_counts(shard, lang, all_bits)[1].sum())
+    assert pairs == sum(n for f in grams(rows).values() for p, n in f.items() if len(p) == 2)
     words = defaultdict(Counter)
     for lang, shard in collocations.shards(iter([_batch(rows)]), 0):
         for w, n in zip(*collocations.word_counts(shard), strict=True):
@@ -144,11 +143,14 @@ def test_shards_count_every_phrase_once(monkeypatch):
 
 
 def test_the_bitmap_marks_every_key(spark):
-    keys = [("en", f"w{i} é") for i in range(500)]
-    bitmap = collocations.bitmap_of(spark.createDataFrame(keys, "lang string, word string"), "word")
-    assert collocations._marked(bitmap, "en", [w.encode() for _, w in keys]).all()
-    others = collocations._marked(bitmap, "en", [f"other{i}".encode() for i in range(500)])
-    assert others.mean() < 0.05
+    keys = spark.createDataFrame([("en", f"w{i} é") for i in range(500)], "lang string, word string")
+    bitmap = collocations.bitmap_of(keys.select(collocations.word_hash().alias("hash")))
+    here = collocations._hashes("en", [f"w{i} é".encode() for i in range(500)])
+    assert collocations._marked(bitmap, here).all()
+    others = collocations._hashes("en", [f"other{i}".encode() for i in range(500)])
+    assert collocations._marked(bitmap, others).mean() < 0.05
+    # The order of a pair counts.
+    assert (collocations._pair_hashes(here, others) != collocations._pair_hashes(others, here)).all()
 
 
 def test_ranges_cut_a_word_that_is_more_than_one(spark):
