@@ -1,8 +1,9 @@
 """Monthly balance rows to one row per loan or card.
 
-Each summary is a single groupBy. "Value in the latest month" is the maximum of a
-(month, value) struct, so it needs neither a window nor a join back, combines
-before the shuffle, and resolves repeated months the same way on every run.
+Each summary is a single groupBy. "Value in the latest month" is the maximum of (month, value),
+so it needs neither a window nor a join back, combines before the shuffle, and resolves repeated
+months the same way on every run. Month and status are packed into one number, so the aggregate
+hashes; the card's latest amounts do not fit into one and stay a struct, for which Spark sorts.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendscope.functions.ordered import LatestStatus
+
 # First month of the observation window, raw days past due that
 # count as a vintage event.
 WINDOW_START = -96
@@ -19,6 +22,7 @@ EVENT_DPD = 30
 def monthly_loan_summary(pos: DataFrame, window_start: int = WINDOW_START) -> DataFrame:
     """POS / cash loan: observation window, worst delinquency, first 30+ month, last status."""
     month = F.col("months_balance")
+    latest = LatestStatus(pos, "months_balance", "name_contract_status")
     per_loan = pos.groupBy("sk_id_prev").agg(
         F.max("sk_id_curr").alias("sk_id_curr"),
         F.min(month).alias("first_month"),
@@ -28,7 +32,7 @@ def monthly_loan_summary(pos: DataFrame, window_start: int = WINDOW_START) -> Da
         F.max("sk_dpd").alias("max_sk_dpd"),
         F.max("sk_dpd_def").alias("max_sk_dpd_def"),
         F.min(F.when(F.col("sk_dpd") >= EVENT_DPD, month)).alias("_event_month"),
-        F.max(F.struct(month, "name_contract_status")).alias("_latest"),
+        latest.of.alias("_latest"),
     )
     return per_loan.where(F.col("sk_id_prev").isNotNull()).select(
         "sk_id_prev",
@@ -42,7 +46,7 @@ def monthly_loan_summary(pos: DataFrame, window_start: int = WINDOW_START) -> Da
         "max_sk_dpd",
         "max_sk_dpd_def",
         (F.col("_event_month") - F.col("first_month")).alias("first_dpd30_mob"),
-        F.col("_latest.name_contract_status").alias("last_status"),
+        latest.status("_latest").alias("last_status"),
     )
 
 
@@ -82,15 +86,12 @@ def card_summary(balances: DataFrame) -> DataFrame:
 
 def status_as_of(pos: DataFrame, as_of_month: int = -1) -> DataFrame:
     """Latest known status of each loan at a month; loans not yet seen are absent."""
-    latest = (
-        pos.where(F.col("months_balance") <= as_of_month)
-        .groupBy("sk_id_prev")
-        .agg(F.max(F.struct("months_balance", "name_contract_status", "sk_id_curr")).alias("_latest"))
-    )
-    return latest.select(
+    known = pos.where(F.col("months_balance") <= as_of_month)
+    latest = LatestStatus(known, "months_balance", "name_contract_status", "sk_id_curr")
+    return known.groupBy("sk_id_prev").agg(latest.of.alias("_latest")).select(
         "sk_id_prev",
-        F.col("_latest.sk_id_curr").alias("sk_id_curr"),
-        F.col("_latest.name_contract_status").alias("name_contract_status"),
-        F.col("_latest.months_balance").alias("observed_month"),
+        latest.id("_latest").alias("sk_id_curr"),
+        latest.status("_latest").alias("name_contract_status"),
+        latest.month("_latest").alias("observed_month"),
         F.lit(as_of_month).cast("bigint").alias("as_of_month"),
     )

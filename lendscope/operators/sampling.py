@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,13 @@ from lendscope.sources.readers import write_sorted
 
 # Fixed value: how the manifest describes the selection.
 SELECTION = "ORDER BY md5(seed || ':' || SK_ID_CURR) LIMIT n_clients"
-#: Clients a sample may have: its ids pass through one task. More are refused.
-MOST_CLIENTS = 1_000_000
+#: Hex digits of the hash that one histogram tells apart: 65,536 counts at most.
+DIGITS = 4
+#: Ids that may meet in one task to be sorted. Where more share the digits told apart so far, the
+#: next histogram parts them.
+SORTED_IDS = 10_000
+#: Ids joined into one text on the way to a digest.
+BLOCK_IDS = 10_000
 CLIENT_TABLES = (
     "bureau",
     "previous_application",
@@ -22,16 +29,43 @@ CLIENT_TABLES = (
 )
 
 
+def _hash(seed: int, key: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
+
+
 def hash_sample(ids: DataFrame, n: int, seed: int, key: str = "sk_id_curr") -> DataFrame:
-    """The n ids that come first in the order of a seeded hash.
+    """The n ids that come first in the order of a seeded hash; all if there are no more.
 
-    A top-n: each task keeps n candidates, nothing is sorted as a whole. More than
-    MOST_CLIENTS are refused, since the candidates of all tasks meet in one.
+    The place of the n-th hash is found by histograms of its leading digits, each over the ids
+    that share the digits found so far; the ids before that place are then a filter, and only
+    the few at it are sorted. So n may be any number, and nothing is gathered or sorted as a
+    whole. Repeated ids count each, null ids come last.
     """
-    if n > MOST_CLIENTS:
-        raise ValueError(f"a sample has at most {MOST_CLIENTS} clients, asked for {n}")
-    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
-    return ids.select(key).orderBy(hashed, F.col(key)).limit(n)
+    if n <= 0:
+        return ids.select(key).limit(0)
+    hashed = ids.select(key, _hash(seed, key).alias("_hash")).where(F.col(key).isNotNull())
+    prefix, left = "", n
+    before = F.lit(False)
+    while True:
+        here = hashed.where(F.col("_hash").startswith(prefix)) if prefix else hashed
+        digits = F.substr(F.col("_hash"), F.lit(len(prefix) + 1), F.lit(DIGITS))
+        counts = here.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("n")).collect()
+        taken = 0
+        for row in sorted(counts, key=lambda r: r["digits"]):
+            if taken + row["n"] >= left:
+                break
+            taken += row["n"]
+        else:  # there are no more than n, and none are left out but null ids
+            known = hashed.select(key)
+            missing = left - taken
+            return known.unionByName(ids.select(key).where(F.col(key).isNull()).limit(missing))
+        at, left = prefix + row["digits"], left - taken
+        before = before | (F.substr(F.col("_hash"), F.lit(1), F.lit(len(at))) < at)
+        prefix = at
+        if row["n"] <= SORTED_IDS or len(prefix) >= 32:
+            break
+    last = hashed.where(F.col("_hash").startswith(prefix)).orderBy("_hash", key).limit(left)
+    return hashed.where(before).unionByName(last).select(key)
 
 
 def sample_clients(
@@ -60,9 +94,38 @@ def sample_closure(
 
 
 def ids_digest(ids: DataFrame, key: str = "sk_id_curr") -> Column:
-    """sha256 over the comma-joined ids in text order. At most MOST_CLIENTS ids meet."""
-    joined = F.array_join(F.sort_array(F.collect_list(key)), ",")
-    return ids.agg(F.sha2(joined, 256)).scalar()
+    """sha256 over the comma-joined ids in text order.
+
+    Ids are sorted over partitions and joined block by block there. The hash itself can only be
+    computed from front to back: one task reads the blocks in order, one at a time.
+    """
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = (
+        ids.select(key)
+        .repartitionByRange(parts, key)
+        .sortWithinPartitions(key)
+        .withColumn("_seq", F.monotonically_increasing_id())
+    )
+    blocks = laid.groupBy(F.expr(f"_seq div {BLOCK_IDS}").alias("_block")).agg(
+        F.array_join(F.sort_array(F.collect_list(key)), ",").alias("_ids")
+    )
+    return sequential_sha256(blocks, "_block", "_ids").select("sha256").scalar()
+
+
+def sequential_sha256(blocks: DataFrame, order: str, text: str) -> DataFrame:
+    """One row: sha256 of the comma-joined texts in order. Holds one block at a time."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running, first = hashlib.sha256(), True
+        for batch in batches:
+            for value in batch.column(0):
+                running.update((b"" if first else b",") + value.as_py().encode())
+                first = False
+        yield pa.RecordBatch.from_pydict({"sha256": [running.hexdigest()]})
+
+    return (
+        blocks.repartition(1, F.lit(0)).sortWithinPartitions(order).select(text).mapInArrow(digest, "sha256 string")
+    )
 
 
 def sample_manifest(sample: Mapping[str, DataFrame], seed: int) -> DataFrame:

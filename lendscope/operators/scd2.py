@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendscope.functions.ordered import LatestStatus
+
 # Names of the version columns in the published history.
 SCD_ID = "dbt_scd_id"
 UPDATED_AT = "dbt_updated_at"
@@ -91,6 +93,104 @@ def scd2_apply(
     return kept.withColumn(VALID_TO, closes).select(*history.columns)
 
 
+# What a row of a batch does to the history.
+KIND, OPENS, PAST, REFUSED = "_kind", "opens", "past", "refused"
+
+
+def scd2_changes(
+    open_versions: DataFrame,
+    batch: DataFrame,
+    key: str = "sk_id_prev",
+    check_cols: Sequence[str] = ("name_contract_status",),
+    moment: Column | None = None,
+) -> DataFrame:
+    """The rows of a batch that matter, by kind, from the open versions alone.
+
+    `opens`: a version that begins with this row; its end is set if a later row of the batch
+    ends it. `past`: a row of a moment before the open version, which only closed versions can
+    judge (`contradictions`). `refused`: a row that says something else than the open version, or
+    another row of the batch, says of the same moment. Rows that say what is known are left out.
+
+    The open versions (one for each key) meet the batch in one join on the key; the windows
+    that follow are over the batch only, in the partitioning of that join.
+    """
+    moment = F.col("as_of_month") if moment is None else moment
+    incoming = start_history(batch, key, moment)
+    checked = F.struct(*check_cols)
+    known = open_versions.select(
+        F.col(key).alias("_key"), F.col(VALID_FROM).alias("_since"), checked.alias("_open")
+    )
+    met = incoming.join(known, F.col(key) == F.col("_key"), "left")
+    of_moment = Window.partitionBy(key, VALID_FROM).orderBy(*check_cols)
+    met = met.withColumn("_first", F.first(checked).over(of_moment)).withColumn(
+        "_place", F.row_number().over(of_moment)
+    )
+    since = F.col("_since")
+    kind = (
+        F.when(F.col(VALID_FROM) < since, PAST)
+        .when((F.col(VALID_FROM) == since) & ~checked.eqNullSafe(F.col("_open")), REFUSED)
+        .when(F.col(VALID_FROM) == since, "seen")
+        .when((F.col("_place") > 1) & ~checked.eqNullSafe(F.col("_first")), REFUSED)
+        .when(F.col("_place") > 1, "seen")
+        .otherwise("later")
+    )
+    sorted_out = met.withColumn(KIND, kind).where(F.col(KIND) != "seen")
+    in_order = Window.partitionBy(key, KIND).orderBy(VALID_FROM)
+    before = F.coalesce(F.lag(checked).over(in_order), F.col("_open"))
+    later = F.col(KIND) == "later"
+    differs = before.isNull() | ~before.eqNullSafe(checked)
+    told = sorted_out.withColumn("_differs", differs).where(~later | F.col("_differs"))
+    ends = F.when(later, F.lead(VALID_FROM).over(in_order))
+    return told.withColumn(VALID_TO, ends).select(
+        *incoming.columns, F.when(later, OPENS).otherwise(F.col(KIND)).alias(KIND)
+    )
+
+
+def closed_by(open_versions: DataFrame, changes: DataFrame, key: str = "sk_id_prev") -> DataFrame:
+    """Versions that the changes close: open ones that end, and new ones that ended at once."""
+    opened = changes.where(F.col(KIND) == OPENS)
+    ends = opened.groupBy(key).agg(F.min(VALID_FROM).alias("_ends"))
+    ended = open_versions.join(ends, key).withColumn(VALID_TO, F.col("_ends"))
+    columns = open_versions.columns
+    return ended.select(*columns).unionByName(
+        opened.where(F.col(VALID_TO).isNotNull()).select(*columns)
+    )
+
+
+def open_after(open_versions: DataFrame, changes: DataFrame, key: str = "sk_id_prev") -> DataFrame:
+    """The open versions after the changes."""
+    opened = changes.where(F.col(KIND) == OPENS)
+    columns = open_versions.columns
+    return (
+        open_versions.join(opened.select(key).distinct(), key, "left_anti")
+        .select(*columns)
+        .unionByName(opened.where(F.col(VALID_TO).isNull()).select(*columns))
+    )
+
+
+def contradictions(
+    closed: DataFrame,
+    changes: DataFrame,
+    key: str = "sk_id_prev",
+    check_cols: Sequence[str] = ("name_contract_status",),
+) -> DataFrame:
+    """Rows of the past that no closed version bears out, of the columns of `closed`."""
+    past = changes.where(F.col(KIND) == PAST).drop(KIND)
+    version = closed.select(
+        F.col(key).alias("_key"),
+        F.col(VALID_FROM).alias("_from"),
+        F.col(VALID_TO).alias("_to"),
+        F.struct(*check_cols).alias("_was"),
+    )
+    same = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("_from") <= F.col(VALID_FROM))
+        & (F.col(VALID_FROM) < F.col("_to"))
+        & F.struct(*check_cols).eqNullSafe(F.col("_was"))
+    )
+    return past.join(version, same, "left_anti").select(*closed.columns)
+
+
 def status_changes(pos: DataFrame, start: int, end: int) -> DataFrame:
     """One row per run of equal status per loan, seen through monthly loads start..end.
 
@@ -99,15 +199,16 @@ def status_changes(pos: DataFrame, start: int, end: int) -> DataFrame:
     follows holds at most end - start + 1 rows per loan.
     """
     load_month = F.greatest(F.col("months_balance"), F.lit(start).cast("bigint"))
+    known = pos.where(F.col("months_balance") <= end)
+    latest = LatestStatus(known, "months_balance", "name_contract_status", "sk_id_curr")
     seen = (
-        pos.where(F.col("months_balance") <= end)
-        .groupBy("sk_id_prev", load_month.alias("as_of_month"))
-        .agg(F.max(F.struct("months_balance", "name_contract_status", "sk_id_curr")).alias("seen"))
+        known.groupBy("sk_id_prev", load_month.alias("as_of_month"))
+        .agg(latest.of.alias("seen"))
         .select(
             "sk_id_prev",
-            F.col("seen.sk_id_curr").alias("sk_id_curr"),
-            F.col("seen.name_contract_status").alias("name_contract_status"),
-            F.col("seen.months_balance").alias("observed_month"),
+            latest.id("seen").alias("sk_id_curr"),
+            latest.status("seen").alias("name_contract_status"),
+            latest.month("seen").alias("observed_month"),
             "as_of_month",
         )
     )

@@ -22,13 +22,20 @@ from lendscope.functions.typing import surrogate_key
 CENT = "0.01"
 
 
-def _installments(payments: DataFrame) -> DataFrame:
-    """One row per (loan, installment number) with due and paid facts."""
-    versions = (
-        payments.where(
-            F.col("sk_id_prev").isNotNull() & F.col("num_instalment_number").isNotNull()
-        )
-        .groupBy("sk_id_prev", "num_instalment_number", "num_instalment_version")
+#: What an installment is known by, and a schedule version of it.
+INSTALLMENT = ("sk_id_prev", "num_instalment_number")
+VERSION = (*INSTALLMENT, "num_instalment_version")
+
+
+def version_states(payments: DataFrame) -> DataFrame:
+    """What the payments of each schedule version of an installment add up to.
+
+    Every column is a maximum, a minimum, a sum or a count, so states of more payments can be
+    merged into states of earlier ones (`merge_states`) without going back to those.
+    """
+    return (
+        payments.where(" and ".join(f"{name} is not null" for name in INSTALLMENT))
+        .groupBy(*VERSION)
         .agg(
             F.max("sk_id_curr").alias("sk_id_curr"),
             F.max("days_instalment").alias("due_day"),
@@ -41,13 +48,38 @@ def _installments(payments: DataFrame) -> DataFrame:
         )
     )
 
+
+def merge_states(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """The states of all payments, from those of two sets of payments with none in common.
+
+    Grouping takes NULL versions for one, as the aggregate over payments does.
+    """
+    return (
+        earlier.unionByName(later)
+        .groupBy(*VERSION)
+        .agg(
+            F.max("sk_id_curr").alias("sk_id_curr"),
+            F.max("due_day").alias("due_day"),
+            F.max("amt_due").alias("amt_due"),
+            F.max("loaded_at").alias("loaded_at"),
+            F.sum("n_payments").alias("n_payments"),
+            money_sum(F.col("amt_paid")).alias("amt_paid"),
+            F.min("first_payment_day").alias("first_payment_day"),
+            F.max("last_payment_day").alias("last_payment_day"),
+        )
+    )
+
+
+def _installments(versions: DataFrame) -> DataFrame:
+    """One row per (loan, installment number) with due and paid facts."""
+
     # One min_by per scalar keeps every aggregation buffer fixed-width, which is what
     # lets Spark use a hash aggregate; a min_by over a struct would sort instead.
     def of_lowest_version(name: str) -> Column:
         return F.min_by(name, "num_instalment_version").alias(name)
 
     return (
-        versions.groupBy("sk_id_prev", "num_instalment_number")
+        versions.groupBy(*INSTALLMENT)
         .agg(
             F.max("sk_id_curr").alias("sk_id_curr"),
             F.count("*").alias("n_versions"),
@@ -66,6 +98,11 @@ def _installments(payments: DataFrame) -> DataFrame:
 
 
 def installment_schedule(payments: DataFrame) -> DataFrame:
+    """Ledger of scheduled installments, from all payments."""
+    return schedule_of_states(version_states(payments))
+
+
+def schedule_of_states(versions: DataFrame) -> DataFrame:
     """Ledger of scheduled installments with days past due and payment flags.
 
     Days past due of an unpaid installment stay NULL: no observation date is known.
@@ -75,7 +112,7 @@ def installment_schedule(payments: DataFrame) -> DataFrame:
     under = has_payment & (F.col("amt_paid") < F.col("amt_due") - cent)
     over = has_payment & (F.col("amt_paid") > F.col("amt_due") + cent)
     days_late = F.col("last_payment_day") - F.col("due_day")
-    return _installments(payments).select(
+    return _installments(versions).select(
         surrogate_key("sk_id_prev", "num_instalment_number").alias("installment_id"),
         "sk_id_prev",
         "sk_id_curr",

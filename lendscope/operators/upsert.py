@@ -1,12 +1,30 @@
-"""Keyed incremental updates without a MERGE-capable table format."""
+"""Keyed incremental updates without a MERGE-capable table format.
+
+Two ways to the same rows. `schedule_delta` needs nothing stored but the target: it aggregates
+the touched installments again, from all their payments. `ScheduleTables` stores, in buckets of
+the installment's hash, what the payments add up to: new payments are merged into the states of
+the buckets they touch, and no earlier payment is read.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.operators.schedule import installment_schedule
+from lendscope.operators.schedule import (
+    INSTALLMENT,
+    installment_schedule,
+    merge_states,
+    schedule_of_states,
+    version_states,
+)
 from lendscope.sources import store
+from lendscope.sources.catalog import Change, Run
+
+#: Buckets of the installment tables. A bucket is rewritten as a whole by one task.
+BUCKETS = 64
 
 
 def delta_since(source: DataFrame, target: DataFrame, column: str = "loaded_at") -> DataFrame:
@@ -50,15 +68,59 @@ def schedule_delta(payments: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def upsert_published(root: str, table: str, delta: DataFrame, key: str) -> int:
-    """Merge a delta into a published table. Returns how many rows were merged.
+class ScheduleTables:
+    """States, schedule and fact of a run, all in buckets of the installment's hash.
 
-    The new version is written beside the one being read. An empty delta writes nothing.
+    Payments must be added once: what has been added is the caller's to know (a note of the
+    states table, published with it).
     """
-    target = store.read_current(delta.sparkSession, root, table)
-    if target is None:
-        return store.publish(delta, root, table)
-    merged = delta.count()
-    if merged:
-        store.publish(upsert(target, delta, key), root, table)
-    return merged
+
+    STATES, SCHEDULE, FACT = "int_installment_states", "int_installment_schedule", "fct_installments"
+
+    def __init__(self, run: Run, buckets: int = BUCKETS):
+        self.run = run
+        self.buckets = buckets
+
+    def build(self, payments: DataFrame, note: str | None = None) -> DataFrame:
+        """States and schedule of all payments."""
+        key = list(INSTALLMENT)
+        states = self.run.publish_buckets(self.STATES, version_states(payments), key, self.buckets, note)
+        return self.run.publish_buckets(self.SCHEDULE, schedule_of_states(states), key, self.buckets)
+
+    def add(self, payments: DataFrame, note: str | None = None) -> Change | None:
+        """Merge new payments. The schedule rows that changed, or None if nothing did.
+
+        Reads the new payments and the touched buckets of the states; rewrites the touched
+        buckets of states and schedule.
+        """
+        change = self.run.rewrite_buckets(self.STATES, version_states(payments), merge_states, note)
+        if not change.rows:
+            change.forget()
+            if note is not None:
+                self.run.annotate(self.STATES, note)
+            return None
+        touched = change.delta.select(*INSTALLMENT).distinct()
+        states = self.run.read(self.STATES, change.labels)
+        rows = schedule_of_states(states.join(touched, list(INSTALLMENT), "left_semi"))
+        moved = self.run.merge(self.SCHEDULE, rows)
+        change.forget()
+        return moved
+
+    def build_fact(self, fact_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        rows = fact_of(self.run.read(self.SCHEDULE))
+        return self.run.publish_buckets(self.FACT, rows, list(INSTALLMENT), self.buckets)
+
+    def merge_fact(
+        self, fact_of: Callable[[DataFrame], DataFrame], moved: Change | None = None
+    ) -> int:
+        """Merge the fact rows of changed schedule rows. Returns how many there were.
+
+        Changed are the rows of `moved`; without it, those loaded since the fact's newest row.
+        """
+        if moved is None:
+            changed = delta_since(self.run.read(self.SCHEDULE), self.run.read(self.FACT))
+        else:
+            changed = moved.delta
+        change = self.run.merge(self.FACT, fact_of(changed))
+        change.forget()
+        return change.rows

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lendscope.functions.risk import money_sum
 from lendscope.operators.clients import UNPAID
 from lendscope.operators.quality import ERROR, WARN
+from lendscope.functions.ordered import LatestStatus
 from lendscope.operators.scd2 import VALID_FROM, VALID_TO
 
 CENT = "0.01"
@@ -260,14 +261,15 @@ def scd2_transitions(pos: DataFrame, history: DataFrame) -> DataFrame:
     start = _total(history, F.min("as_of_month"))
     end = _total(history, F.max("as_of_month"))
     month = F.col("months_balance")
+    latest = LatestStatus(pos, "months_balance", "name_contract_status")
     seen = (
         pos.where(month <= end)
         .groupBy("sk_id_prev", F.greatest(month, start).alias("load_month"))
-        .agg(F.max(F.struct(month, "name_contract_status")).alias("latest"))
+        .agg(latest.of.alias("latest"))
         .select(
             "sk_id_prev",
             "load_month",
-            F.coalesce("latest.name_contract_status", F.lit("(null)")).alias("status"),
+            F.coalesce(latest.status("latest"), F.lit("(null)")).alias("status"),
         )
     )
     before = F.lag("status").over(Window.partitionBy("sk_id_prev").orderBy("load_month"))

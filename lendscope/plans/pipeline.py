@@ -2,14 +2,19 @@
 
     spark-submit --py-files ... -m lendscope.plans.pipeline <source folder> <warehouse folder> [csv|parquet]
 
-Tables that several later steps read are published as Parquet and read back: that cuts
+Tables that several later steps read are written as Parquet and read back: that cuts
 lineage at a durable place (a lost executor costs its tasks, not the job) and lets every
 consumer scan only the columns it needs. Staging stays a projection over RAW.
+
+What a run writes becomes current after its checks, all tables at once. A run that is stopped by
+its checks leaves the tables as they were and publishes what the checks found. Of two runs that
+began from the same tables the second is refused.
 """
 
 from __future__ import annotations
 
 import datetime
+import json
 import sys
 from collections.abc import Mapping
 from functools import reduce
@@ -19,13 +24,15 @@ from pyspark.sql import functions as F
 
 from lendscope.operators import clients, monthly, quality, schedule, scd2
 from lendscope.operators.staging import stage
-from lendscope.operators.upsert import schedule_delta, upsert_published
+from lendscope.operators.status_history import StatusHistory
+from lendscope.operators.upsert import ScheduleTables
 from lendscope.plans import business_checks, marts, rules
 from lendscope.session import build_session
-from lendscope.sources import raw_load, readers, store
+from lendscope.sources import catalog, raw_load, readers
 from lendscope.sources.registry import TABLES
 
-FACT, STATUS = "fct_installments", "snp_loan_status"
+FACT, STATUS = ScheduleTables.FACT, "snp_loan_status"
+PAYMENTS = "installments_payments"
 
 
 class ChecksFailed(RuntimeError):
@@ -33,40 +40,60 @@ class ChecksFailed(RuntimeError):
 
 
 class Warehouse:
-    """Published tables under one folder."""
+    """Tables under one folder: as they are current, and as this run has written them."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.run = catalog.Run(spark, f"{self.root}/tables")
+        self.landed = catalog.Run(spark, f"{self.root}/raw")
 
     def publish(self, name: str, df: DataFrame) -> DataFrame:
-        store.publish(df, f"{self.root}/tables", name)
-        return self.read(name)
+        return self.run.publish(name, df)
 
     def read(self, name: str) -> DataFrame | None:
-        return store.read_current(self.spark, f"{self.root}/tables", name)
+        return self.run.read(name)
 
     def raw(self, name: str) -> DataFrame:
-        return store.read_current(self.spark, f"{self.root}/raw", name)
+        return self.landed.read(name)
+
+    def deliveries(self, name: str) -> dict[str, str]:
+        """The folders of a RAW table by label: one, and one for each delivery added to it."""
+        return self.landed.entry(name).folders
 
 
 def staged_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
     return {f"stg_{t.name}": stage(warehouse.raw(t.name), t.name) for t in TABLES}
 
 
+def refresh_schedule(
+    warehouse: Warehouse, payments: DataFrame, full_refresh: bool = False
+) -> tuple[DataFrame, catalog.Change | None]:
+    """The schedule, and the rows of it that changed if only deliveries were added since the
+    last run. The deliveries that went into the states are published with them; a payment table
+    that was replaced is taken in anew."""
+    tables = ScheduleTables(warehouse.run)
+    there = warehouse.deliveries(PAYMENTS)
+    note = json.dumps(sorted(there.values()))
+    states = warehouse.run.entry(tables.STATES)
+    taken = None if states is None or states.note is None else set(json.loads(states.note))
+    if full_refresh or taken is None or not taken <= set(there.values()):
+        return tables.build(payments, note), None
+    new = [label for label, folder in there.items() if folder not in taken]
+    moved = None
+    if new:
+        moved = tables.add(stage(warehouse.landed.read(PAYMENTS, new), PAYMENTS), note)
+    return warehouse.read(tables.SCHEDULE), moved
+
+
 def build_history(
     warehouse: Warehouse, t: Mapping[str, DataFrame], window_start: int = monthly.WINDOW_START
 ) -> dict[str, DataFrame]:
-    """Per-installment, per-loan and per-client summaries."""
-    built = {
-        "int_installment_schedule": warehouse.publish(
-            "int_installment_schedule",
-            schedule.installment_schedule(t["stg_installments_payments"]),
-        )
-    }
+    """Per-loan and per-client summaries."""
+    built = {}
     built["int_loan_payment_performance"] = warehouse.publish(
         "int_loan_payment_performance",
-        schedule.loan_performance(built["int_installment_schedule"]),
+        schedule.loan_performance(t["int_installment_schedule"]),
     )
     built["int_pos_cash_loan"] = warehouse.publish(
         "int_pos_cash_loan",
@@ -83,7 +110,7 @@ def build_history(
         clients.client_history(
             t["stg_application_train"],
             t["stg_application_test"],
-            built["int_installment_schedule"],
+            t["int_installment_schedule"],
             t["stg_previous_application"],
             built["int_pos_cash_loan"],
             built["int_credit_card_loan"],
@@ -94,22 +121,26 @@ def build_history(
 
 
 def _refresh_fact(
-    warehouse: Warehouse, t: Mapping[str, DataFrame], full_refresh: bool
+    warehouse: Warehouse, t: Mapping[str, DataFrame], moved: catalog.Change | None, full_refresh: bool
 ) -> DataFrame:
     """Merge the installments that changed since the last run, or build all of them."""
     train, previous = t["stg_application_train"], t["stg_previous_application"]
-    current = warehouse.read(FACT)
-    if current is None or full_refresh:
-        rows = marts.fct_installments(t["int_installment_schedule"], train, previous)
-        return warehouse.publish(FACT, rows)
-    touched = schedule_delta(t["stg_installments_payments"], current)
-    delta = marts.fct_installments(touched, train, previous)
-    upsert_published(f"{warehouse.root}/tables", FACT, delta, "installment_id")
+    tables = ScheduleTables(warehouse.run)
+
+    def fact_of(rows: DataFrame) -> DataFrame:
+        return marts.fct_installments(rows, train, previous)
+
+    if warehouse.read(FACT) is None or full_refresh:
+        return tables.build_fact(fact_of)
+    tables.merge_fact(fact_of, moved)
     return warehouse.read(FACT)
 
 
 def build_marts(
-    warehouse: Warehouse, t: Mapping[str, DataFrame], full_refresh: bool = False
+    warehouse: Warehouse,
+    t: Mapping[str, DataFrame],
+    moved: catalog.Change | None = None,
+    full_refresh: bool = False,
 ) -> dict[str, DataFrame]:
     train, test = t["stg_application_train"], t["stg_application_test"]
     built = {
@@ -124,7 +155,7 @@ def build_marts(
                 t["int_credit_card_loan"],
             ),
         ),
-        FACT: _refresh_fact(warehouse, t, full_refresh),
+        FACT: _refresh_fact(warehouse, t, moved, full_refresh),
     }
     universe = marts.risk_universe(built["dim_client"], t["int_client_credit_history"])
     built["mart_credit_risk"] = warehouse.publish("mart_credit_risk", marts.segment_risk(universe))
@@ -141,12 +172,14 @@ def build_status_history(
     end: int = -1,
     full_refresh: bool = False,
 ) -> DataFrame:
-    """The history as it is after the load of month `end`: that load applied to the published
-    history, or all loads from `start` on where there is none."""
-    pos, current = t["stg_pos_cash_balance"], warehouse.read(STATUS)
-    if current is None or full_refresh:
-        return warehouse.publish(STATUS, scd2.scd2_backfill(pos, start, end))
-    return warehouse.publish(STATUS, scd2.scd2_apply(current, monthly.status_as_of(pos, end)))
+    """The history as it is after the load of month `end`: that load applied to the open versions
+    of the published history, or all loads from `start` on where there is none. Rows that
+    contradict a month the history has passed go to a table of their own."""
+    pos, history = t["stg_pos_cash_balance"], StatusHistory(warehouse.run, STATUS)
+    if not history.exists() or full_refresh:
+        return history.build(scd2.scd2_backfill(pos, start, end))
+    history.apply(monthly.status_as_of(pos, end))
+    return history.read()
 
 
 def business_results(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -179,9 +212,15 @@ def _failed(results: DataFrame) -> list[str]:
     return sorted(f"{r.check_name} ({r.failures})" for r in quality.blocking(results).collect())
 
 
-def _stop_on(failed: list[str], stop: bool) -> None:
+def _stop_on(warehouse: Warehouse, failed: list[str], stop: bool, what: str = "failed checks") -> None:
+    """Publish what the checks found, and nothing else, and stop."""
     if failed and stop:
-        raise ChecksFailed("failed checks:\n - " + "\n - ".join(failed))
+        warehouse.run.commit(n for n in warehouse.run.changed if n in RESULTS)
+        raise ChecksFailed(f"{what}:\n - " + "\n - ".join(failed))
+
+
+#: Tables that say what a run found, also one that was stopped.
+RESULTS = {"source_freshness", "checks_business", f"{STATUS}_refused", *(f"checks_{x}" for x in rules.CHECKS)}
 
 
 def run(
@@ -199,33 +238,37 @@ def run(
     """The whole job. Returns the published tables by name.
 
     All checks run and publish their results always; `stop_on_error` decides whether what
-    they find stops the job.
+    they find stops the job before its tables become current. The age of the sources is
+    reported and stops nothing: a source that does not change is not loaded again.
     """
+    raw_load.load_changed(spark, sources, f"{root.rstrip('/')}/raw", load_ts, force)
     warehouse = Warehouse(spark, root)
-    raw_load.load_changed(spark, sources, f"{warehouse.root}/raw", load_ts, force)
-    fresh = warehouse.publish("source_freshness", freshness_results(warehouse, load_ts))
-    stale = fresh.where("status = 'error'").collect()  # one row per source at most
-    _stop_on(sorted(f"{r.table_name} was last loaded {r.max_loaded_at}" for r in stale), stop_on_error)
+    warehouse.publish("source_freshness", freshness_results(warehouse, load_ts))
     tables = staged_tables(warehouse)
-    _stop_on(check_layer(warehouse, rules.STAGING, tables), stop_on_error)
+    _stop_on(warehouse, check_layer(warehouse, rules.STAGING, tables), stop_on_error)
+    tables["int_installment_schedule"], moved = refresh_schedule(
+        warehouse, tables["stg_installments_payments"], full_refresh
+    )
     tables |= build_history(warehouse, tables, window_start)
-    _stop_on(check_layer(warehouse, rules.HISTORY, tables), stop_on_error)
-    tables |= build_marts(warehouse, tables, full_refresh)
+    _stop_on(warehouse, check_layer(warehouse, rules.HISTORY, tables), stop_on_error)
+    tables |= build_marts(warehouse, tables, moved, full_refresh)
+    if moved is not None:
+        moved.forget()
     if with_history:
         tables[STATUS] = build_status_history(warehouse, tables, full_refresh=full_refresh)
     failed = check_layer(warehouse, rules.MARTS, tables)
     if with_history:
         failed += check_layer(warehouse, rules.SNAPSHOT, tables)
     failed += _failed(warehouse.publish("checks_business", business_results(tables)))
-    _stop_on(failed, stop_on_error)
+    _stop_on(warehouse, failed, stop_on_error)
     messages = business_checks.verify_layers(
         warehouse.raw("application_train"),
         tables["stg_application_train"],
         tables,
         tables.get(STATUS),
     ).collect()  # one short message per layer
-    if messages and stop_on_error:
-        raise ChecksFailed("verification:\n - " + "\n - ".join(m.message for m in messages))
+    _stop_on(warehouse, [m.message for m in messages], stop_on_error, "verification")
+    warehouse.run.commit()
     return tables
 
 

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
+import json
 import re
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.operators.upsert import upsert
-from lendscope.sources import store
+from lendscope.sources import catalog, store
 from lendscope.sources.registry import TABLES_BY_NAME, SourceTable
 
 LEDGER = "_load_audit"
@@ -25,26 +27,44 @@ _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 # ---------------------------------------------------------------- change detection
 
 
-def source_digest(df: DataFrame) -> DataFrame:
-    """One row: a digest of the rows as a bag, and how many there are.
+class SourceChangedError(RuntimeError):
+    """A source was not the same when it was loaded as when it was looked at."""
+
+
+def digest_lanes(columns: list[str]) -> dict[str, Column]:
+    """Aggregates that tell the rows as a bag: how many, and two sums over 60 bits of their hashes.
 
     Rows are hashed where they are read and the hashes are added up, so neither file
-    layout nor row order matters, copies count, and nothing is sorted or collected.
-    Lengths and a NULL mark make the hashed text unambiguous across columns.
+    layout nor row order matters, copies count, and nothing is sorted or collected. The lanes of
+    two sets of rows add up to the lanes of both. Lengths and a NULL mark make the hashed text
+    unambiguous across columns.
     """
-    cells = ",".join(f"coalesce(length(`{c}`) || ':' || `{c}`, 'null')" for c in df.columns)
+    cells = ",".join(f"coalesce(length(`{c}`) || ':' || `{c}`, 'null')" for c in columns)
     row_hash = F.expr(f"md5(concat_ws(',', {cells}))")
 
     def lane(first: int):
-        """Sum over rows of 60 bits of the hash."""
         part = F.conv(F.substr(row_hash, F.lit(first), F.lit(15)), 16, 10)
         return F.coalesce(F.sum(part.cast("decimal(28,0)")), F.lit(0)).cast("decimal(38,0)")
 
-    sums = df.agg(F.count("*").alias("row_count"), lane(1).alias("low"), lane(16).alias("high"))
+    return {"row_count": F.count("*"), "low": lane(1), "high": lane(16)}
+
+
+def _lanes_of(df: DataFrame) -> DataFrame:
+    return df.agg(*(lane.alias(name) for name, lane in digest_lanes(df.columns).items()))
+
+
+def source_digest(df: DataFrame) -> DataFrame:
+    """One row: a digest of the rows as a bag, and how many there are."""
+    sums = _lanes_of(df)
     parts = [F.col(c).cast("string") for c in ("row_count", "low", "high")]
     return sums.select(F.md5(F.concat_ws("-", *parts)).alias("digest"), "row_count")
 
 
+def _digest_of(lanes: Mapping[str, int]) -> str:
+    """As `source_digest`, of lanes that are there already."""
+    return hashlib.md5("-".join(str(lanes[c]) for c in ("row_count", "low", "high")).encode()).hexdigest()
+
+
 def digests(sources: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, digest, row_count) per source."""
     return reduce(
@@ -113,16 +133,62 @@ def with_audit(df: DataFrame, source_file: str, load_ts: datetime.datetime) -> D
     )
 
 
+def _stage_raw(
+    run: catalog.Run, df: DataFrame, table: str, source_file: str, load_ts: datetime.datetime, add: bool
+) -> dict[str, int]:
+    """Write a RAW table (or a further folder of it); the lanes of all it holds then.
+
+    The source is read once: its lanes are observed while it is written, and kept as the note
+    of the table.
+    """
+    check_columns(df.columns, TABLES_BY_NAME[table])
+    raw = with_audit(df, source_file, load_ts)
+    before = run.entry(table)
+    if before is not None:
+        store.require_same_columns(table, run.read(table, []), raw)
+    add = add and before is not None
+    (run.append if add else run.publish)(table, raw, metrics=digest_lanes(df.columns))
+    lanes = {c: int(run.observed[table][c]) for c in ("row_count", "low", "high")}
+    if add:
+        # A table that was published by other means has no lanes on record.
+        earlier = run.read(table, before.folders).select(*df.columns)
+        known = json.loads(before.note) if before.note else _lanes_of(earlier).first().asDict()
+        lanes = {c: n + int(known[c]) for c, n in lanes.items()}
+    run.annotate(table, json.dumps(lanes))
+    return lanes
+
+
+def _record(run: catalog.Run, rows: list[tuple]) -> None:
+    if rows:
+        found = run.read(LEDGER)
+        entries = run.spark.createDataFrame(rows, LEDGER_SCHEMA)
+        run.publish(LEDGER, entries if found is None else ledger_upsert(found, entries))
+
+
 def load_raw(
     df: DataFrame, table: str, source_file: str, load_ts: datetime.datetime, root: str
 ) -> int:
     """Replace a RAW table as a whole; readers never see part of it."""
-    check_columns(df.columns, TABLES_BY_NAME[table])
-    raw = with_audit(df, source_file, load_ts)
-    existing = store.read_current(df.sparkSession, root, table)
-    if existing is not None:
-        store.require_same_columns(table, existing, raw)
-    return store.publish(raw, root, table)
+    run = catalog.Run(df.sparkSession, root)
+    lanes = _stage_raw(run, df, table, source_file, load_ts, add=False)
+    run.commit()
+    return lanes["row_count"]
+
+
+def append_raw(
+    df: DataFrame, table: str, source_file: str, load_ts: datetime.datetime, root: str
+) -> int:
+    """Add the rows of a further delivery to a RAW table, in a folder of their own; the rows the
+    table has then. Table and ledger are switched together.
+
+    The ledger gets the digest of everything that was delivered, so a later delivery of all of
+    it in one is recognised as unchanged.
+    """
+    run = catalog.Run(df.sparkSession, root)
+    lanes = _stage_raw(run, df, table, source_file, load_ts, add=True)
+    _record(run, [(table, source_file, _digest_of(lanes), lanes["row_count"], load_ts)])
+    run.commit()
+    return lanes["row_count"]
 
 
 def ledger_upsert(ledger: DataFrame, rows: DataFrame) -> DataFrame:
@@ -157,27 +223,35 @@ def load_changed(
 ) -> dict[str, str]:
     """Load the sources that changed; table name to 'loaded' or 'skipped'.
 
-    The loop is over the declared tables, never over data.
+    A source that is loaded anyway (forced, or not on record) is read once. Others are read to
+    compare their digest and, if it is another, once more to load them; rows that are not the
+    ones compared are refused. All tables and the ledger are switched together. The loop is over
+    the declared tables, never over data.
     """
+    known = read_ledger(spark, root)
     # One row per declared table.
-    rows = digests(sources).select("table_name", "digest").collect()
-    found = spark.createDataFrame(rows, "table_name string, digest string")
-    decisions = skip_decision(
-        found, read_ledger(spark, root), raw_counts(spark, root, list(sources)), force
+    on_record = {row.table_name for row in known.select("table_name").collect()}
+    compared = {n: df for n, df in sources.items() if n in on_record and not force}
+    digest_of = (
+        {row.table_name: row.digest for row in digests(compared).select("table_name", "digest").collect()}
+        if compared
+        else {}
     )
+    found = spark.createDataFrame([(n, digest_of.get(n)) for n in sources], "table_name string, digest string")
+    decisions = skip_decision(found, known, raw_counts(spark, root, list(sources)), force)
     skip = {row.table_name: row.skip for row in decisions.collect()}
-    digest_of = {row.table_name: row.digest for row in rows}
-    outcome = {}
+    run, entries, outcome = catalog.Run(spark, root), [], {}
     for name, df in sources.items():
         outcome[name] = "skipped" if skip[name] else "loaded"
         if skip[name]:
             continue
         file_name = TABLES_BY_NAME[name].file_name
-        rows = load_raw(df, name, file_name, load_ts, root)
-        entry = spark.createDataFrame(
-            [(name, file_name, digest_of[name], rows, load_ts)], LEDGER_SCHEMA
-        )
-        store.publish(ledger_upsert(read_ledger(spark, root), entry), root, LEDGER)
+        lanes = _stage_raw(run, df, name, file_name, load_ts, add=False)
+        if digest_of.get(name, _digest_of(lanes)) != _digest_of(lanes):
+            raise SourceChangedError(f"{file_name} changed while it was loaded; nothing was switched")
+        entries.append((name, file_name, _digest_of(lanes), lanes["row_count"], load_ts))
+    _record(run, entries)
+    run.commit()
     return outcome
 
 

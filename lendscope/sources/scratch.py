@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -27,3 +27,10 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under the shared root."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written under the shared root and read again: cuts lineage at a durable place."""
+    path = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,114 +1,93 @@
-"""Versioned Parquet tables with an atomic switch.
+"""Versioned Parquet tables, one at a time: `catalog` for a run of a single table.
 
-    <root>/<table>/version-000007/...   complete, immutable once published
-    <root>/<table>/_CURRENT             one line: the published version, and a note to it
-
-A load writes a new version, counts it back, and only then renames the pointer into
-place. Readers resolve the pointer once, so they see the old table or the new one,
-and a table may be rebuilt from its own current version. One writer per table.
+A publish writes a new version, counts it back, and only then makes it current. Readers look up
+the current version once, so they see the old table or the new one, and a table may be rebuilt
+from its own current version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
-POINTER = "_CURRENT"
-
-
-class ReconciliationError(RuntimeError):
-    """What was written is not what was read."""
+from pyspark.sql import DataFrame, SparkSession
+
+from lendscope.sources.catalog import (
+    OvertakenError,
+    ReconciliationError,
+    Run,
+    current,
+    read_entry,
+    reconcile_counts,
+)
+
+__all__ = [
+    "OvertakenError",
+    "ReconciliationError",
+    "SchemaDriftError",
+    "append",
+    "current_note",
+    "current_version",
+    "publish",
+    "read_current",
+    "reconcile_counts",
+    "require_same_columns",
+]
+#: Tables of one folder may be published side by side; each attempt starts from what is current.
+ATTEMPTS = 20
 
 
 class SchemaDriftError(RuntimeError):
     """The columns of a table changed between loads."""
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, conf, location, location.getFileSystem(conf)
-
-
-def _read_line(spark: SparkSession, path: str) -> str | None:
-    jvm, _, location, fs = _hadoop(spark, path)
-    if not fs.exists(location):
-        return None
-    stream = fs.open(location)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-    finally:
-        stream.close()
-
-
-def _switch_pointer(spark: SparkSession, path: str, line: str) -> None:
-    """Write beside the pointer, then rename over it: one atomic step on HDFS-like stores."""
-    jvm, conf, location, fs = _hadoop(spark, path)
-    staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{line.split()[0]}")
-    stream = fs.create(staged, True)
-    try:
-        stream.write(bytearray(line.encode()))
-    finally:
-        stream.close()
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(location.toUri(), conf)
-    context.rename(fs.makeQualified(staged), fs.makeQualified(location), options)
-
-
-def _next_version(spark: SparkSession, folder: str) -> str:
-    """One past every version folder, also those of loads that never finished."""
-    _, _, location, fs = _hadoop(spark, folder)
-    taken = [0]
-    if fs.exists(location):
-        for status in fs.listStatus(location):
-            name = status.getPath().getName()
-            if name.startswith("version-"):
-                taken.append(int(name.removeprefix("version-")))
-    return f"version-{max(taken) + 1:06d}"
-
-
 def current_version(spark: SparkSession, root: str, table: str) -> str | None:
-    line = _read_line(spark, f"{root}/{table}/{POINTER}")
-    return line.split()[0] if line else None
+    """The newest version folder of a table."""
+    entry = current(spark, root)[1].get(table)
+    if entry is None or not entry.folders:
+        return None
+    return max(folder.split("/")[1] for folder in entry.folders.values())
 
 
 def current_note(spark: SparkSession, root: str, table: str) -> str | None:
     """What was published together with the current version."""
-    line = _read_line(spark, f"{root}/{table}/{POINTER}")
-    return line.partition(" ")[2] or None if line else None
+    entry = current(spark, root)[1].get(table)
+    return None if entry is None else entry.note
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The published version, or None before the first publish."""
-    version = current_version(spark, root, table)
-    return None if version is None else spark.read.parquet(f"{root}/{table}/{version}")
+    """The published rows, or None before the first publish."""
+    entry = current(spark, root)[1].get(table)
+    return None if entry is None else read_entry(spark, root, entry)
 
 
-def reconcile_counts(name: str, source_rows: int, loaded_rows: int) -> int:
-    if source_rows != loaded_rows:
-        raise ReconciliationError(
-            f"{name}: {loaded_rows} rows were written, {source_rows} were read"
-        )
-    return loaded_rows
+def _switch(run: Run, table: str) -> int:
+    """Commit a run of one table. What other tables did meanwhile is no conflict."""
+    began = run.entries.get(table)
+    for _ in range(ATTEMPTS):
+        try:
+            run.commit([table])
+            return run.entries[table].n_rows
+        except OvertakenError:
+            run.number, run.entries = current(run.spark, run.root)
+            if run.entries.get(table) != began:
+                raise
+    raise OvertakenError(f"{table}: other tables of {run.root} are published all the time")
 
 
 def publish(df: DataFrame, root: str, table: str, note: str | None = None) -> int:
     """Write a new version, verify it, make it current. Returns its row count.
 
-    A note becomes current in the same step. The source rows are counted while they are written, not by a second pass.
+    A note becomes current in the same step. The source rows are counted while they are written,
+    not by a second pass.
     """
-    spark = df.sparkSession
-    folder = f"{root}/{table}"
-    version = _next_version(spark, folder)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/{version}")
-    loaded = spark.read.parquet(f"{folder}/{version}").count()
-    reconcile_counts(table, seen.get["rows"], loaded)
-    _switch_pointer(spark, f"{folder}/{POINTER}", f"{version} {note}" if note else version)
-    return loaded
+    run = Run(df.sparkSession, root)
+    run.publish(table, df, note)
+    return _switch(run, table)
+
+
+def append(df: DataFrame, root: str, table: str, note: str | None = None) -> int:
+    """Add rows to a table as a folder of their own. Returns the rows the table has now."""
+    run = Run(df.sparkSession, root)
+    run.append(table, df, note)
+    return _switch(run, table)
 
 
 def require_same_columns(name: str, existing: DataFrame, incoming: DataFrame) -> None:

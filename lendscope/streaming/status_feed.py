@@ -1,35 +1,34 @@
 """Monthly status loads as a stream into the versioned status history.
 
 Each micro-batch holds the status of loans at one or several months and is applied in one
-pass. The number of the micro-batch is published together with the history it leads to, so a
-micro-batch that is replayed (after a driver lost between publishing and committing) is
-recognised and left alone. A month that the history has passed is refused by `scd2_apply`.
+pass, against the open versions. The number of the micro-batch is published together with the
+history it leads to, so a micro-batch that is replayed (after a driver lost between publishing
+and committing) is recognised and left alone. A row that contradicts a month the history has
+passed stops the stream.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lendscope.operators.scd2 import scd2_apply, start_history
-from lendscope.sources import store
+from lendscope.operators.status_history import StatusHistory
+from lendscope.sources.catalog import Run
 
 KEY = "sk_id_prev"
 
 
 def apply_load(batch: DataFrame, root: str, table: str, batch_id: int | None = None) -> None:
     """Apply one micro-batch and publish the result; nothing if it was applied before."""
-    spark = batch.sparkSession
-    note = store.current_note(spark, root, table)
-    if batch_id is not None and note is not None and int(note) >= batch_id:
+    run = Run(batch.sparkSession, root)
+    entry = run.entry(table)
+    if batch_id is not None and entry is not None and entry.note is not None and int(entry.note) >= batch_id:
         return
-    history = store.read_current(spark, root, table)
-    if history is None:
-        history = start_history(batch.where("false"), KEY, F.col("as_of_month"))
-    if not batch.isEmpty():
-        note = None if batch_id is None else str(batch_id)
-        store.publish(scd2_apply(history, batch, KEY), root, table, note)
+    if batch.isEmpty():
+        return
+    note = None if batch_id is None else str(batch_id)
+    StatusHistory(run, table, KEY).apply(batch, note=note, stop_on_refused=True)
+    run.commit()
 
 
 def follow_status(

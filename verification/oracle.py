@@ -38,7 +38,7 @@ def _needed(sql: str, seen: list[str]) -> list[str]:
 
 def render(sql: str) -> str:
     ctes = ", ".join(
-        f"{name} as ({_REFERENCE.sub(r'm_\1', _FRAGMENTS[name])})".replace(f"{name} as", f"m_{name} as", 1)
+        f"m_{name} as ({_REFERENCE.sub(r'm_\1', _FRAGMENTS[name])})"
         for name in _needed(sql, [])
     )
     body = _REFERENCE.sub(r"m_\1", sql)
@@ -97,9 +97,9 @@ for _table in registry.TABLES:
 
 def bucket(days: str) -> str:
     return (
-        f"case when {days} > 90 then '90+' when {days} > 60 then '61-90' "
-        f"when {days} > 30 then '31-60' when {days} > 0 then '1-30' "
-        f"when {days} <= 0 then '0' end"
+        f"case when {days} <= 0 then '0' when {days} <= 30 then '1-30' "
+        f"when {days} <= 60 then '31-60' when {days} <= 90 then '61-90' "
+        f"when {days} > 90 then '90+' end"
     )
 
 
@@ -118,17 +118,17 @@ def cohort(months: str) -> str:
 def age_band(days: str) -> str:
     years = f"(cast(-{days} as double) / cast(365.25 as double))"
     return (
-        f"case when {years} >= 65 then '65+' when {years} >= 55 then '55-64' "
-        f"when {years} >= 45 then '45-54' when {years} >= 35 then '35-44' "
-        f"when {years} >= 25 then '25-34' when {years} < 25 then '<25' else 'unknown' end"
+        f"case when {years} < 25 then '<25' when {years} < 35 then '25-34' "
+        f"when {years} < 45 then '35-44' when {years} < 55 then '45-54' "
+        f"when {years} < 65 then '55-64' when {years} >= 65 then '65+' else 'unknown' end"
     )
 
 
 def income_band(income: str) -> str:
     return (
-        f"case when {income} >= 270000 then '5: 270k+' when {income} >= 180000 then '4: 180k-270k' "
-        f"when {income} >= 135000 then '3: 135k-180k' when {income} >= 90000 then '2: 90k-135k' "
-        f"when {income} < 90000 then '1: <90k' else 'unknown' end"
+        f"case when {income} < 90000 then '1: <90k' when {income} < 135000 then '2: 90k-135k' "
+        f"when {income} < 180000 then '3: 135k-180k' when {income} < 270000 then '4: 180k-270k' "
+        f"when {income} >= 270000 then '5: 270k+' else 'unknown' end"
     )
 
 
@@ -199,8 +199,8 @@ select sk_id_prev, max(sk_id_curr) as sk_id_curr, count(*) as n_installments,
     count(*) filter (dpd > 30) as n_late_30p_installments,
     max(dpd) as max_dpd, {bucket('max(dpd)')} as dpd_bucket,
     {total('amt_due')} as amt_due_total, {total('amt_paid')} as amt_paid_total
-from @int_installment_schedule group by all
-""".replace("group by all", "group by sk_id_prev"),
+from @int_installment_schedule group by sk_id_prev
+""",
 )
 
 fragment(

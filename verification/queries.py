@@ -9,11 +9,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendscope.functions import pairs, risk, typing
-from lendscope.operators import monthly, profiling, quality, sampling, scd2, staging, upsert
+from lendscope.functions import ordered, pairs, risk, typing
+from lendscope.operators import (
+    monthly,
+    profiling,
+    quality,
+    sampling,
+    scd2,
+    segments,
+    staging,
+    status_history,
+    upsert,
+)
 from lendscope.plans import business_checks as chk
 from lendscope.plans import marts, reports, rules
-from lendscope.sources import raw_load, readers, scratch, store
+from lendscope.sources import catalog, raw_load, readers, scratch, store
 from lendscope.sources.registry import TABLES
 from verification import mapping
 from verification.frames import Frames
@@ -128,9 +138,17 @@ def load_raw_full(f: Frames) -> DataFrame:
 def load_atomic_publish(f: Frames) -> DataFrame:
     root = scratch.scratch_folder(f.spark, "publish")
     store.publish(f.cards.withColumn("load_no", F.lit(1)), root, "cards")
-    first = store.read_current(f.spark, root, "cards")
-    store.publish(first.withColumn("load_no", F.lit(2)), root, "cards")
-    return store.read_current(f.spark, root, "cards")
+    run = catalog.Run(f.spark, root)
+    run.publish("cards", run.read("cards").withColumn("load_no", F.lit(2)))
+    run.publish("clients", f.dim_client)
+    overtaken = catalog.Run(f.spark, root)
+    run.commit()
+    overtaken.publish("cards", overtaken.read("cards").withColumn("load_no", F.lit(3)))
+    try:
+        overtaken.commit()
+    except catalog.OvertakenError:
+        return store.read_current(f.spark, root, "cards")
+    raise AssertionError("a run that was overtaken became current")
 
 
 @query
@@ -467,21 +485,33 @@ register(
 
 @query
 def win_latest_row(f: Frames) -> DataFrame:
-    """Latest month's row per loan: an aggregate, so long loans never gather in a window."""
-    latest = F.max(F.struct("months_balance", "sk_dpd", "name_contract_status"))
-    return f.pos.groupBy("sk_id_prev").agg(latest.alias("r")).select("sk_id_prev", "r.*")
+    """Latest month's row per loan: an aggregate, so long loans never gather in a window, and over
+    one number, so that it hashes."""
+    texts = ordered.dictionary_of(f.pos, "name_contract_status")
+    if texts is None:
+        latest = F.max(F.struct("months_balance", "sk_dpd", "name_contract_status"))
+        return f.pos.groupBy("sk_id_prev").agg(latest.alias("r")).select("sk_id_prev", "r.*")
+    bits = [20, 32, ordered.TEXT_BITS]
+    columns = [F.col("months_balance"), F.col("sk_dpd"), texts.place(F.col("name_contract_status"))]
+    number = F.max(ordered.packed(*zip(columns, bits, strict=True))).alias("r")
+    month, dpd, place = ordered.unpacked(F.col("r"), bits)
+    return f.pos.groupBy("sk_id_prev").agg(number).select(
+        "sk_id_prev",
+        month.alias("months_balance"),
+        dpd.alias("sk_dpd"),
+        texts.text(place).alias("name_contract_status"),
+    )
 
 
 def _months(f: Frames) -> DataFrame:
-    """Every monthly row. A loan has one row for each month (the declared grain
-    `unique(sk_id_prev, months_balance)`), which is what bounds a window."""
+    """Every monthly row."""
     return f.pos.select("sk_id_prev", "months_balance", "name_contract_status", "sk_dpd")
 
 
-def _by_month(*month):
-    """Months in order; rows that repeat a month by their other columns."""
-    order = month or (F.col("months_balance"),)
-    return Window.partitionBy("sk_id_prev").orderBy(*order, "name_contract_status", "sk_dpd")
+def _by_month(months: DataFrame) -> segments.Segments:
+    """Months of a loan in order; rows that repeat a month by their other columns. A loan may
+    hold any share of the rows."""
+    return segments.Segments(months, ["sk_id_prev"], ["months_balance", "name_contract_status", "sk_dpd"])
 
 
 @query
@@ -490,28 +520,27 @@ def win_rank_in_side(f: Frames) -> DataFrame:
 
 
 def rank_in_side(months: DataFrame) -> DataFrame:
-    side = F.when(F.col("months_balance") <= -40, 0).otherwise(1)
-    w = Window.partitionBy("sk_id_prev", side).orderBy(
-        F.desc("months_balance"), "name_contract_status", "sk_dpd"
-    )
-    return months.select(
-        "sk_id_prev", "months_balance", F.row_number().over(w).cast("bigint").alias("rank_in_side")
+    sided = months.withColumn("side", F.when(F.col("months_balance") <= -40, 0).otherwise(1))
+    order = [F.desc("months_balance"), F.asc("name_contract_status"), F.asc("sk_dpd")]
+    ranked = segments.Segments(sided, ["sk_id_prev", "side"], order).row_number("rank_in_side")
+    return ranked.select(
+        "sk_id_prev", "months_balance", F.col("rank_in_side").cast("bigint").alias("rank_in_side")
     )
 
 
 def previous_status(months: DataFrame) -> DataFrame:
-    return months.select(
-        "sk_id_prev",
-        "months_balance",
-        F.lag("name_contract_status").over(_by_month()).alias("previous_status"),
+    return (
+        _by_month(months)
+        .lag("previous_status", F.col("name_contract_status"))
+        .select("sk_id_prev", "months_balance", "previous_status")
     )
 
 
 def next_month(months: DataFrame) -> DataFrame:
-    return months.select(
-        "sk_id_prev",
-        "months_balance",
-        F.lead("months_balance").over(_by_month()).alias("next_month"),
+    return (
+        _by_month(months)
+        .lead("next_month", F.col("months_balance"))
+        .select("sk_id_prev", "months_balance", "next_month")
     )
 
 
@@ -540,8 +569,7 @@ def win_runs(f: Frames) -> DataFrame:
 def status_runs(months: DataFrame) -> DataFrame:
     """Runs of equal status per loan."""
     status = F.coalesce("name_contract_status", F.lit("(null)"))
-    months = months.withColumn("status", status)
-    months = months.withColumn("before", F.lag("status").over(_by_month()))
+    months = _by_month(months.withColumn("status", status)).lag("before", F.col("status"))
     starts = F.col("before").isNull() | (F.col("before") != F.col("status"))
     return months.groupBy("sk_id_prev").agg(F.count_if(starts).alias("n_runs"))
 
@@ -704,38 +732,50 @@ def wilson_interval(f: Frames) -> DataFrame:
 # ---------------------------------------------------------------- incremental and history
 
 
-def _early_target(f: Frames) -> DataFrame:
-    """The fact as it stood before the late payments arrived."""
-    early = f.payments.where(F.col("loaded_at") < F.lit("2024-01-02 00:00:00").cast("timestamp"))
-    from lendscope.operators.schedule import installment_schedule
+LATE = "2024-01-02 00:00:00"
+
 
-    return marts.fct_installments(installment_schedule(early), f.train, f.previous)
+def _installment_tables(f: Frames) -> tuple[upsert.ScheduleTables, DataFrame]:
+    """States, schedule and fact as they stood before the late payments, and those payments."""
+    late = F.col("loaded_at") >= F.lit(LATE).cast("timestamp")
+    run = catalog.Run(f.spark, scratch.scratch_folder(f.spark, "installments"))
+    tables = upsert.ScheduleTables(run, buckets=16)
+    tables.build(f.payments.where(~late))
+    tables.build_fact(lambda rows: marts.fct_installments(rows, f.train, f.previous))
+    run.commit()
+    return tables, f.payments.where(late)
 
 
 @query
 def incremental_delta(f: Frames) -> DataFrame:
-    return upsert.delta_since(f.fct_installments, _early_target(f))
+    """The fact rows that late payments change, from stored states: no early payment is read."""
+    tables, late = _installment_tables(f)
+    return marts.fct_installments(tables.add(late).delta, f.train, f.previous)
 
 
 @query
 def incremental_merge(f: Frames) -> DataFrame:
-    """Only touched installments are aggregated again; the result is the full rebuild."""
-    target = _early_target(f)
-    touched = upsert.schedule_delta(f.payments, target)
-    delta = marts.fct_installments(touched, f.train, f.previous)
-    return upsert.upsert(target, delta, "installment_id")
+    """Late payments merged into states, schedule and fact, in the buckets they touch; the
+    result is the full rebuild."""
+    tables, late = _installment_tables(f)
+    tables.merge_fact(lambda rows: marts.fct_installments(rows, f.train, f.previous), tables.add(late))
+    tables.run.commit()
+    return store.read_current(f.spark, tables.run.root, tables.FACT)
 
 
 LOADS = (-36, -24, -12, -1)
 
 
+def _history(f: Frames) -> status_history.StatusHistory:
+    run = catalog.Run(f.spark, scratch.scratch_folder(f.spark, "status"))
+    return status_history.StatusHistory(run, "snp_loan_status")
+
+
 def _loaded(f: Frames, months) -> DataFrame:
-    history = scd2.start_history(
-        monthly.status_as_of(f.pos, months[0]), "sk_id_prev", F.col("as_of_month")
-    )
-    for month in months[1:]:
-        history = scd2.scd2_apply(history, monthly.status_as_of(f.pos, month))
-    return history
+    history = _history(f)
+    for month in months:
+        history.apply(monthly.status_as_of(f.pos, month))
+    return history.read()
 
 
 register("scd2_apply", lambda f: _loaded(f, LOADS))
@@ -746,13 +786,14 @@ register(
 register("scd2_backfill", lambda f: f.status_history)
 
 
-
 @query
 def scd2_replay(f: Frames) -> DataFrame:
     """Several loads in one batch, applied twice: what they leave one by one."""
     batch = union(monthly.status_as_of(f.pos, month) for month in LOADS)
-    empty = scd2.start_history(batch.where("false"), "sk_id_prev", F.col("as_of_month"))
-    return scd2.scd2_apply(scd2.scd2_apply(empty, batch), batch)
+    history = _history(f)
+    for _ in range(2):
+        history.apply(batch)
+    return history.read()
 
 
 register("scd2_rerun_idempotent", lambda f: _loaded(f, (-24, -1, -1)))
@@ -765,7 +806,9 @@ def _sample(f: Frames, n_test: int) -> dict[str, DataFrame]:
     train, test = sampling.sample_clients(
         raw["application_train"], raw["application_test"], SAMPLE_CLIENTS, n_test, SEED
     )
-    return sampling.sample_closure(raw, train, test)
+    # The selection runs once; every table reads what it chose.
+    ids = [scratch.written(chosen, "sample-ids") for chosen in (train, test)]
+    return sampling.sample_closure(raw, *ids)
 
 
 @query
