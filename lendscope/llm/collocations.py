@@ -32,7 +32,7 @@ from lendscope.llm.common import running_bases, saved, small_batches, spread
 from lendscope.llm.transducer import Phrase, Transducer, build, unite
 
 #: Words of one shard and bytes of text split at once: what a task holds in memory.
-SHARD_WORDS, SLICE_BYTES = 4_000_000, 4 * 1024 * 1024
+SHARD_WORDS, SLICE_BYTES = 2_000_000, 2 * 1024 * 1024
 #: Automata united at once.
 UNITED = 32
 #: Bits of the hash bitmap: 16 for each frequent key, within these bounds (16 MB at most).

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendscope.session import ship_package
@@ -34,6 +34,11 @@ def small_table(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def text_hash(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over at least as many tasks as there are cores; a table of one row group
     would otherwise be one task."""
@@ -41,11 +46,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
     """Keep Arrow batches of whole texts small, and let the workers import this package."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def running_bases(totals: DataFrame, part: str, sums: dict[str, str], by: list[str] | None = None) -> DataFrame:

@@ -10,8 +10,8 @@ go; what repeats or re-parameterises the item is reported.
 The typed template hinges on case and full stops, which tell names from other words. So a
 second form of every text stands beside it, without signs and case, in which only numbers and
 units are replaced: it finds copies without punctuation, in title case or in capitals. A place
-of the item counts as found if either form is. Items that say too little in both forms are
-looked for with their values as they are.
+of the item counts as found if either form is. Items that say too little in both forms, and items
+of a few words only, are looked for with their values as they are.
 """
 
 from __future__ import annotations
@@ -22,13 +22,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import saved, small_table
+from lendscope.llm.common import saved, small_table, text_hash
 
-#: Words of a window; items with fewer words are one window, down to the shortest that counts.
-WINDOW, SHORTEST = 8, 4
+#: Words of a window; items with fewer words are one window. An item needs so many words for its
+#: template to say anything; shorter ones are looked for word by word.
+WINDOW, TEMPLATE_WORDS = 8, 4
 #: Share of an item's windows that a document must hold, and of slots that may conflict.
 COVERAGE, CONFLICTS = 0.5, 0.2
 
+#: What a row is known by: its id may be that of other texts, too.
+ROW = ["doc_id", "text_hash"]
+
 NUMBER, NAME, UNIT = "<n>", "<p>", "<u>"
 UNITS = (
     "mm|cm|dm|m|km|inch|inches|feet|foot|ft|yards?|miles?|mg|g|kg|tons?|tonnes?|grams?|"
@@ -38,11 +42,13 @@ UNITS = (
 )
 # A capitalised word that follows another word of the same sentence and line; words in
 # capitals throughout are no names, they are a way to shout.
-_NAME = r"(?<=[^.!?:\s\p{N}] )\p{Lu}\p{Ll}[\p{L}'-]*"
-_NUMBER = r"[-+]?[$€£]?\p{N}[\p{N}.,:/]*%?"
+_NAME = r"(?=\p{Lu})(?<=[^.!?:\s\p{N}] )\p{Lu}\p{Ll}[\p{L}'-]*"
+_NUMBER = r"(?=[-+$€£\p{N}])[-+]?[$€£]?\p{N}[\p{N}.,:/]*%?"
 _UNIT = rf"(?i)(?<=<n>\s)(?:{UNITS})(?![\p{{L}}\p{{N}}])"
-# Signs at the rim of a word; a word of signs only stays, so words keep their places.
-_RIM = r"(?<=[\p{L}\p{N}>])[^\p{L}\p{N}\s<>]+(?=\s|$)|(?<=^|\s)[^\p{L}\p{N}\s<>]+(?=[\p{L}\p{N}<])"
+# Signs at the rim of a word; a word of signs only stays, so words keep their places. What begins
+# a pattern is looked at first, so that most places need no look back.
+_SIGN = r"[^\p{L}\p{N}\s<>]"
+_RIM = rf"(?={_SIGN})(?:(?<=[\p{{L}}\p{{N}}>]){_SIGN}+(?=\s|$)|(?<=^|\s){_SIGN}+(?=[\p{{L}}\p{{N}}<]))"
 
 
 # The second form: numbers, units behind them, and signs, in lower case.
@@ -57,7 +63,7 @@ def words(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """Template words, one for each word of the text and in the same places."""
-    plain = F.regexp_replace(text, "[<>]", "*")
+    plain = F.translate(text, "<>", "**")
     named = F.regexp_replace(plain, _NAME, NAME)
     numbered = F.regexp_replace(named, _NUMBER, NUMBER)
     united = F.regexp_replace(numbered, _UNIT, UNIT)
@@ -97,23 +103,54 @@ def _origins(text: Column, kind: int) -> Column:
     return F.filter(places, lambda i: i.isNotNull())
 
 
-def _windows(hashes: Column, length: int) -> Column:
-    """Hash of each run of `length` word hashes, by its first place."""
-    return F.transform(
-        F.when(
-            F.size(hashes) >= length, F.sequence(F.lit(1), F.size(hashes) - length + 1)
-        ).otherwise(F.array().cast("array<int>")),
-        lambda i: F.xxhash64(F.slice(hashes, i, F.lit(length))),
-    )
+def _with_windows(rows: DataFrame, length: int) -> DataFrame:
+    """The rows (word hashes in h) with w: a hash of each run of `length` words, by first place.
+
+    Hashes of 2, 4, ... words are made from two of half the length; a run of any length is put
+    together from those of the powers of two in it.
+    """
+
+    def joined(runs: str, behind: str, shift: int) -> Column:
+        return F.transform(runs, lambda x, i: F.xxhash64(x, F.get(F.col(behind), i + shift)))
+
+    size, made = 1, rows.withColumn("w1", F.col("h"))
+    while 2 * size <= length:
+        made = made.withColumn(f"w{2 * size}", joined(f"w{size}", f"w{size}", size))
+        size *= 2
+    made, done = made.withColumn("w", F.col(f"w{size}")), size
+    while done < length:
+        while size > length - done:
+            size //= 2
+        made = made.withColumn("w", joined("w", f"w{size}", done))
+        done += size
+    n_runs = F.greatest(F.size("h") - length + 1, F.lit(0))
+    return made.withColumn("w", F.slice("w", F.lit(1), n_runs)).select(*rows.columns, "w")
+
+
+def _run_hash(place: Column, length: int) -> Column:
+    """As `_with_windows` for the one run of word hashes (in h) at a place, from 1."""
+
+    def whole(at: Column, size: int) -> Column:
+        if size == 1:
+            return F.get("h", at - 1)
+        return F.xxhash64(whole(at, size // 2), whole(at + size // 2, size // 2))
+
+    size = 1 << (length.bit_length() - 1)
+    run, done = whole(place, size), size
+    while done < length:
+        size = 1 << ((length - done).bit_length() - 1)
+        run, done = F.xxhash64(run, whole(place + done, size)), done + size
+    return run
 
 
 def _telling(items: DataFrame, kind: int) -> DataFrame:
     """item_id, kind, length, place, hash, origin of the windows of one form that say enough:
     half of their words are no placeholders. Where values stand for themselves, a window needs
     a letter. origin has the places of the text that a window begins at."""
+    fewest = 1 if kind == BARE else TEMPLATE_WORDS
     formed = (
         items.select("item_id", FORMS[kind](F.col("text")).alias("t"), _origins(F.col("text"), kind).alias("at"))
-        .where(F.size("t") >= SHORTEST)
+        .where(F.size("t") >= fewest)
         .withColumn("length", F.least(F.size("t"), F.lit(WINDOW)))
         .withColumn("h", F.transform("t", lambda w: F.xxhash64(w)))
     )
@@ -135,7 +172,9 @@ def _telling(items: DataFrame, kind: int) -> DataFrame:
             F.lit(kind).alias("kind"),
             "length",
             "place",
-            F.xxhash64(F.slice("h", F.col("place"), F.col("length"))).alias("hash"),
+            F.coalesce(
+                *(F.when(F.col("length") == n, _run_hash(F.col("place"), n)) for n in range(fewest, WINDOW + 1))
+            ).alias("hash"),
             F.sequence(before + 1, F.get("at", F.col("place") - 1)).alias("origin"),
         )
     )
@@ -179,14 +218,15 @@ def find_leaks(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, item_id, coverage, first_word, n_slots, n_conflicts, n_changed of every document
-    that holds an item, or the item with other values.
+    """doc_id, text_hash, item_id, coverage, first_word, n_slots, n_conflicts, n_changed of every
+    document that holds an item, or the item with other values.
 
     coverage is the share of the item's windows found; n_changed counts slots whose value
-    differs from the item's. Rows with a null id or text hold nothing; rows that share an id
-    are one document. Items of fewer than four words, or of numbers only, cannot be
-    recognised, nor can names be told from other words where a copy has other names and another
-    case. Empty tables give an empty result; other columns are ignored.
+    differs from the item's. Rows with a null id or text hold nothing; each text of rows that
+    share an id is judged by itself (text_hash), and rows that repeat an id and a text are one.
+    Items of fewer than four words are found word for word, case and signs aside. Items of numbers
+    only cannot be recognised, nor can names be told from other words where a copy has other names
+    and another case. Texts of any length are searched as a whole. Empty tables give an empty result; other columns are ignored.
     """
     items = saved(benchmark_windows(benchmark, item_col, item_text_col), "leaks")
     # At most three times as many as a window has words.
@@ -194,20 +234,19 @@ def find_leaks(
     lengths = lengths or [(TYPED, WINDOW)]
     kinds = sorted({kind for kind, _ in lengths})
     usable = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).alias("doc_id"),
+        text_hash(F.col(text_col)).alias("text_hash"),
+        F.col(text_col).cast("string").alias("text"),
     )
     hashed = {
         kind: usable.select(
-            "doc_id", F.transform(FORMS[kind](F.col("text")), lambda w: F.xxhash64(w)).alias("h")
+            *ROW, F.transform(FORMS[kind](F.col("text")), lambda w: F.xxhash64(w)).alias("h")
         )
         for kind in kinds
     }
     every = _union(
-        hashed[kind].select(
-            "doc_id",
-            F.lit(kind).alias("kind"),
-            F.lit(n).alias("length"),
-            F.posexplode(_windows(F.col("h"), n)),
+        _with_windows(hashed[kind], n).select(
+            *ROW, F.lit(kind).alias("kind"), F.lit(n).alias("length"), F.posexplode("w")
         )
         for kind, n in lengths
     )
@@ -215,21 +254,21 @@ def find_leaks(
         every.withColumnsRenamed({"pos": "at", "col": "hash"})
         .join(small_table(items), ["kind", "length", "hash"])
         .select(
-            "doc_id", "item_id", "n_windows", "kind", "length", "place", "origin", (F.col("at") + 1).alias("at")
+            *ROW, "item_id", "n_windows", "kind", "length", "place", "origin", (F.col("at") + 1).alias("at")
         ),
         "leaks",
     )
     # What falls short even if all alignments are taken together needs no look at its slots.
     likely = (
-        met.select("doc_id", "item_id", "n_windows", F.explode("origin").alias("origin"))
-        .groupBy("doc_id", "item_id", "n_windows")
+        met.select(*ROW, "item_id", "n_windows", F.explode("origin").alias("origin"))
+        .groupBy(*ROW, "item_id", "n_windows")
         .agg(F.countDistinct("origin").alias("found"))
         .where(F.col("found") >= F.col("n_windows") * coverage)
-        .select("doc_id", "item_id")
+        .select(*ROW, "item_id")
     )
     aligned = saved(
-        met.join(likely, ["doc_id", "item_id"])
-        .groupBy("doc_id", "item_id", "n_windows", "kind", (F.col("at") - F.col("place")).alias("shift"))
+        met.join(likely, [*ROW, "item_id"])
+        .groupBy(*ROW, "item_id", "n_windows", "kind", (F.col("at") - F.col("place")).alias("shift"))
         .agg(
             F.array_sort(F.collect_set("place")).alias("places"),
             F.array_distinct(F.flatten(F.collect_set("origin"))).alias("origins"),
@@ -237,11 +276,11 @@ def find_leaks(
         ),
         "leaks",
     )
-    ids = saved(aligned.select("doc_id").distinct(), "leaks")
-    found = usable.join(small_table(ids), "doc_id", "left_semi")
+    asked = saved(aligned.select(*ROW).distinct(), "leaks")
+    found = usable.join(small_table(asked), ROW, "left_semi").dropDuplicates(ROW)
     texts = _union(
         found.select(
-            "doc_id",
+            *ROW,
             F.lit(kind).alias("kind"),
             VALUES[kind](F.col("text")).alias("doc_words"),
             _origins(F.col("text"), kind).alias("doc_at"),
@@ -274,10 +313,10 @@ def find_leaks(
     )
     compared = (
         aligned.join(item_texts, ["item_id", "kind"])
-        .join(texts, ["doc_id", "kind"])
+        .join(texts, [*ROW, "kind"])
         .withColumn("slots", slots)
         .select(
-            "doc_id",
+            *ROW,
             "item_id",
             "n_windows",
             "kind",
@@ -300,7 +339,7 @@ def find_leaks(
 
     return (
         compared.withColumn("origin", F.explode("origins"))
-        .groupBy("doc_id", "item_id", "n_windows")
+        .groupBy(*ROW, "item_id", "n_windows")
         .agg(
             (F.countDistinct("origin") / F.first("n_windows")).alias("coverage"),
             F.min("first_word").alias("first_word"),
@@ -322,8 +361,12 @@ def _value(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), _RIM, "")
 
 
-def drop_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that hold no leak, with all their columns; rows without id stay."""
-    ids = saved(leaks.select(F.col("doc_id").alias("_leaked")).distinct(), "leaks")
-    ids = small_table(ids)
-    return docs.join(ids, docs[id_col] == ids["_leaked"], "left_anti")
+def drop_leaks(
+    docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs` that hold no leak, with all their columns; rows without id or text
+    stay, and so do texts that share an id with one that goes."""
+    gone = leaks.select(F.col("doc_id").alias("_leaked"), F.col("text_hash").alias("_hash")).distinct()
+    gone = small_table(saved(gone, "leaks"))
+    same = (docs[id_col] == gone["_leaked"]) & (text_hash(docs[text_col]) == gone["_hash"])
+    return docs.join(gone, same, "left_anti")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import saved, small_batches, small_table, spread
+from lendscope.llm.common import saved, small_batches, small_table, spread, text_hash
 from lendscope.llm.components import components
 from lendscope.llm.word_ids import slices
 
@@ -42,6 +42,8 @@ WORDS, PERCENT = 4, 85
 WIDER = 1.7
 #: Sizes among which the boundary is sought.
 SIZES = 512
+#: Rows and bytes of a batch of texts: the sets made of it take several times as much.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 * 1024 * 1024
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -85,8 +87,8 @@ def least_overlap(n, percent: int):
 
 
 def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, limit: int) -> DataFrame:
-    """doc_id, n, node, counted, shingles (those in the counted part, or as many as a prefix
-    needs) of every row. A node is a 64-bit hash of a whole set; an empty set has none."""
+    """doc_id, text_hash, n, node, counted, shingles (those in the counted part, or as many as a
+    prefix needs) of every row. A node is a 64-bit hash of a whole set; an empty set has none."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,19 +113,22 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)),
+                        batch.column(2).slice(start, len(texts)),
                         pa.array(n, pa.int32()),
                         pa.array(node, pa.int64()),
                         pa.array(counted, pa.int32()),
                         pa.array(lists, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n", "node", "counted", "shingles"],
+                    names=["doc_id", "text_hash", "n", "node", "counted", "shingles"],
                 )
 
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("words")
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("words"),
+        text_hash(F.col(text_col)).alias("text_hash"),
     )
     return spread(rows).mapInArrow(
-        sign, "doc_id long, n int, node long, counted int, shingles array<long>"
+        sign, "doc_id long, text_hash long, n int, node long, counted int, shingles array<long>"
     )
 
 
@@ -395,22 +400,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def near_copies(
+def groups(
     docs: DataFrame,
     words: int = WORDS,
     percent: int = PERCENT,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
-
-    component_id is the smallest doc_id reachable by links. A row without words is empty and
-    linked with nothing (its component is itself); so is a row with a null id, whose component
-    is null. Equal sets are linked. Rows that share an id are taken as they are: each links by
-    its own text. An empty table gives an empty result; other columns are ignored.
-    """
+    """doc_id, text_hash, n, group and first of every row: its group (a number of its own; null
+    for an empty set) and the smallest doc_id in it. See `near_copies`."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_ROWS, BATCH_BYTES)
     limit = int(min(0.49, WIDER * (1 - percent / 100)) * 2**64)
     signed = saved(_signature(docs, id_col, text_col, words, percent, limit), "shingles")
     nodes = saved(_shared(signed, limit), "shingles")
@@ -436,9 +436,9 @@ def near_copies(
     far = compare(_apart_pairs(keys, nodes, labels, percent))
     if not far.isEmpty():
         labels = saved(components(near.unionAll(far)), "components")
-    rows = signed.select("doc_id", "n", "node")
+    rows = signed.select("doc_id", "text_hash", "n", "node")
     named = rows.join(labels, "node", "left").select(
-        "doc_id", "n", F.coalesce("component", "node").alias("group")
+        "doc_id", "text_hash", "n", F.coalesce("component", "node").alias("group")
     )
     named = saved(named, "components")
     first = saved(
@@ -447,10 +447,48 @@ def near_copies(
         .agg(F.min("doc_id").alias("first")),
         "components",
     )
-    return named.join(first, "group", "left").select(
+    return named.join(first, "group", "left")
+
+
+def near_copies(
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row.
+
+    component_id is the smallest doc_id reachable by links. A row without words is empty and
+    linked with nothing (its component is itself); so is a row with a null id, whose component
+    is null. Equal sets are linked. Rows that share an id are taken as they are: each links by
+    its own text. An empty table gives an empty result; other columns are ignored.
+    """
+    return groups(docs, words, percent, id_col, text_col).select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(
             F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")
         ).alias("component_id"),
     )
+
+
+def copies(
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """doc_id, text_hash of the texts that go if one of each group stays: of those with the
+    smallest doc_id of the group, the one with the smallest text_hash.
+
+    Texts that share an id are judged one by one. Rows with a null id, and texts without words,
+    are in no list.
+    """
+    rows = saved(groups(docs, words, percent, id_col, text_col), "components")
+    rows = rows.where("group is not null and doc_id is not null")
+    stays = rows.where("doc_id = first").groupBy("group").agg(F.min("text_hash").alias("stays"))
+    one = saved(stays, "components")
+    goes = (F.col("doc_id") != F.col("first")) | (F.col("text_hash") != F.col("stays"))
+    return rows.join(one, "group").where(goes).select("doc_id", "text_hash").distinct()

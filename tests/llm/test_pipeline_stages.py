@@ -40,6 +40,20 @@ def test_repeated_and_null_ids(spark, docs):
     )
 
 
+def test_unlike_texts_that_share_an_id_are_judged_one_by_one(spark):
+    """Of three rows, the second is a copy of the first and shares its id with a text of its own."""
+    rows = [(0, "a b c d e f g"), (5, "a b c d e f g"), (5, "nothing like it at all here"), (0, "A b c d e f g")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in STAGE["near copies"](spark, frame, SF).collect()]
+    assert sorted(t.lower() for _, t in got) == ["a b c d e f g", "nothing like it at all here"]
+    assert {i for i, t in got if t.lower().startswith("a b")} == {0}
+    (item,) = spark.read.parquet(f"{SF}/benchmark.parquet").limit(1).collect()
+    rows = [(7, f"before {item.text} behind"), (7, "a clean text of its own"), (8, None), (None, item.text)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in STAGE["decontamination"](spark, frame, SF).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[3]], key=str)
+
+
 @pytest.mark.parametrize("name", ["quality", "near copies", "decontamination"])
 def test_filters_keep_columns_and_take_empty_tables(spark, docs, name):
     frame = STAGE[name](spark, docs.limit(0), SF)

@@ -52,7 +52,7 @@ def test_leaks_are_found_and_clean_rows_left_alone(spark, benchmark):
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(3))
     got = _found(docs, benchmark, conflicts=0.1)
-    assert set(got) == {(10, 1), (11, 1), (17, 2), (19, 1), (20, 1)}
+    assert set(got) == {(10, 1), (11, 1), (17, 2), (19, 1), (20, 1), (21, 3)}
     assert got[10, 1].n_changed == 0 and got[10, 1].n_conflicts == 0
     # 12, 5, 12, 3, days, 40 and cm have other values, each always the same.
     assert got[11, 1].n_changed == 7 and got[11, 1].n_conflicts == 0
@@ -60,7 +60,9 @@ def test_leaks_are_found_and_clean_rows_left_alone(spark, benchmark):
     # With more patience for conflicts the mixed one is found, too.
     assert (12, 1) in _found(docs, benchmark, conflicts=0.2)
     kept = decontaminate.drop_leaks(docs, decontaminate.find_leaks(docs, benchmark)).collect()
-    assert {r.doc_id for r in kept} == {12, 13, 14, 15, 16, 18, 21, None} - {12}
+    # Of the two texts of document 10 the clean one stays.
+    assert {r.doc_id for r in kept} == {10, 13, 14, 15, 16, 18, None}
+    assert [r.text for r in kept if r.doc_id == 10] == ["repeated id"]
     assert kept[0].item_id == 3
 
 
@@ -87,6 +89,34 @@ def test_leaks_in_other_case_and_without_signs_are_found(spark):
     assert got[34, 1].n_changed == 7
 
 
+def test_short_items_are_found_word_for_word(spark):
+    items = spark.createDataFrame([(1, "Who painted Guernica?"), (2, "Why?"), (3, "Is 7 prime")], "item_id long, text string")
+    rows = [
+        (1, PROSE + "who painted Guernica, he asked"), (2, "Who painted the Guernica?"), (3, "But why not"),
+        (4, "Whyever"), (5, "is 7 prime?"), (6, "is 9 prime?"), (7, PROSE),
+    ]
+    got = _found(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert set(got) == {(1, 1), (3, 2), (5, 3)}
+
+
+def test_texts_of_one_id_have_conflicts_of_their_own(spark, benchmark):
+    """A document whose slots conflict stays let go when another text shares its id."""
+    alone = spark.createDataFrame([(1, MIXED)], "doc_id long, text string")
+    both = spark.createDataFrame([(1, MIXED), (1, "x"), (1, PROSE)], "doc_id long, text string")
+    assert _found(alone, benchmark, conflicts=0.1) == _found(both, benchmark, conflicts=0.1) == {}
+    leak = spark.createDataFrame([(1, MIXED), (1, CHANGED), (1, CHANGED)], "doc_id long, text string")
+    assert len(decontaminate.find_leaks(leak, benchmark, conflicts=0.1).collect()) == 1
+
+
+def test_windows_are_runs_of_words(spark):
+    rows = spark.createDataFrame([(1, list(range(12))), (2, [5, 6, 7]), (3, [])], "id long, h array<long>")
+    for n in range(1, 9):
+        found = {r.id: r.w for r in decontaminate._with_windows(rows, n).collect()}
+        assert {i: len(w) for i, w in found.items()} == {1: 13 - n, 2: max(0, 4 - n), 3: 0}
+        assert len(set(found[1])) == 13 - n
+        assert n > 3 or found[2][0] == found[1][5]
+
+
 def test_leaks_of_empty_tables(spark, benchmark):
     docs = spark.createDataFrame([(1, QUESTION)], "doc_id long, text string")
     assert not _found(docs.limit(0), benchmark)
