@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.llm import decontaminate, ngram_join, packing, quality
-from lendscope.llm.common import saved, small_table, table
+from lendscope.llm.common import saved, small_table, table, text_hash
 from lendscope.llm.queries import tokenizer_path
 
 #: Near copies: words of a shingle and similarity in per cent.
@@ -28,18 +28,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One document of each group of near copies: of the texts with the smallest id.
 
-    Rows without words belong to no group and stay. Rows with a null id stay. Rows that repeat
-    an id and a text count once.
+    Texts that share an id are judged one by one. Rows without words belong to no group and
+    stay. Rows with a null id stay. Rows that repeat an id and a text count once.
     """
-    groups = ngram_join.near_copies(docs, WORDS, PERCENT)
-    gone = saved(
-        groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(),
-        "copies",
+    gone = ngram_join.copies(docs, WORDS, PERCENT).select(
+        F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")
     )
-    gone = small_table(gone)
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = small_table(saved(gone, "copies"))
+    same_row = (docs["doc_id"] == gone["_gone"]) & (text_hash(docs["text"]) == gone["_hash"])
+    kept = docs.join(gone, same_row, "left_anti")
     repeated = saved(
         docs.where("doc_id is not null")
         .groupBy(F.col("doc_id").alias("_again"))
@@ -58,7 +57,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, also none with other values. Rows with a null id
-    or text hold none."""
+    or text hold none; texts that share an id are judged one by one."""
     leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return decontaminate.drop_leaks(docs, leaks)
 
