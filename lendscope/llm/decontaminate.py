@@ -245,8 +245,10 @@ def find_leaks(
         for kind in kinds
     }
     every = _union(
+        # An outer explode: from a plain one Spark infers a filter on the size of w and pushes it
+        # below the projections, with all hashes written out in it. Rows without runs meet nothing.
         _with_windows(hashed[kind], n).select(
-            *ROW, F.lit(kind).alias("kind"), F.lit(n).alias("length"), F.posexplode("w")
+            *ROW, F.lit(kind).alias("kind"), F.lit(n).alias("length"), F.posexplode_outer("w")
         )
         for kind, n in lengths
     )
