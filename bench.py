@@ -15,15 +15,20 @@ import sys
 import tempfile
 import time
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
-from lendscope.operators import monthly, scd2, upsert  # noqa: E402
+from lendscope.operators import monthly, upsert  # noqa: E402
+from lendscope.operators.schedule import installment_schedule  # noqa: E402
 from lendscope.operators.staging import stage  # noqa: E402
+from lendscope.operators.status_history import StatusHistory  # noqa: E402
 from lendscope.plans import marts  # noqa: E402
 from lendscope.session import build_session  # noqa: E402
+from lendscope.sources import catalog  # noqa: E402
 from lendscope.sources.registry import TABLES  # noqa: E402
 from verification import queries  # noqa: E402
 from verification.frames import Frames, StagedFrames  # noqa: E402
@@ -51,13 +56,17 @@ def _sink(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _timed(name: str, build: Callable[[], DataFrame], into: dict, act=_sink) -> None:
+def _step(name: str, act: Callable[[], object], into: dict) -> None:
     began = time.perf_counter()
-    act(build())
+    act()
     into[name] = round(time.perf_counter() - began, 3)
     print(f"{name} {into[name]}s", file=sys.stderr, flush=True)
 
 
+def _timed(name: str, build: Callable[[], DataFrame], into: dict) -> None:
+    _step(name, lambda: _sink(build()), into)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -82,11 +91,23 @@ def main() -> None:
     prepared("raw", given.raw)
     prepared("staged", lambda name: stage(read(f"raw/{name}"), name))
     f = StagedFrames(spark, sf_dir, f"{root}/staged")
-    early = queries._early_target(f)
-    _timed("early fact", lambda: early, prepare, write("early_fact"))
-    first, *_, last = queries.LOADS
-    history = queries._loaded(f, queries.LOADS[:-1])
-    _timed("status history", lambda: history, prepare, write("status"))
+    late = F.col("loaded_at") >= F.lit(queries.LATE).cast("timestamp")
+    run = catalog.Run(spark, f"{root}/tables")
+    tables, history = upsert.ScheduleTables(run, buckets=2 * cpus), StatusHistory(run, "status")
+    *loads, last = queries.LOADS
+
+    def fact_of(rows: DataFrame) -> DataFrame:
+        return marts.fct_installments(rows, f.train, f.previous)
+
+    def early_fact() -> None:
+        tables.build(f.payments.where(~late))
+        tables.build_fact(fact_of)
+
+    _step("early fact", early_fact, prepare)
+    _step("status history", lambda: [history.apply(monthly.status_as_of(f.pos, m)) for m in loads], prepare)
+    run.commit()
+    ten = [f.payments.withColumn("sk_id_prev", F.col("sk_id_prev") + F.lit(i * 10**12)) for i in range(10)]
+    _step("ten times the payments", lambda: write("ten")(reduce(DataFrame.unionByName, ten)), prepare)
 
     began = time.perf_counter()
     for table in TABLES:
@@ -96,19 +117,12 @@ def main() -> None:
         fresh = StagedFrames(spark, sf_dir, f"{root}/staged")
         _timed(name, lambda: queries.BUILDERS[name](fresh), seconds)
 
-    def merge() -> DataFrame:
-        target = read("early_fact")
-        touched = upsert.schedule_delta(f.payments, target)
-        return upsert.upsert(
-            target, marts.fct_installments(touched, f.train, f.previous), "installment_id"
-        )
-
-    _timed("incremental_merge", merge, seconds)
-    _timed(
-        "scd2_apply",
-        lambda: scd2.scd2_apply(read("status"), monthly.status_as_of(f.pos, last)),
-        seconds,
-    )
+    _step("incremental_merge", lambda: tables.merge_fact(fact_of, tables.add(f.payments.where(late))), seconds)
+    _step("scd2_apply", lambda: history.apply(monthly.status_as_of(f.pos, last)), seconds)
+    # Besides the headline: a merge of nothing, and the slope from one to ten times the rows.
+    more: dict[str, float] = {}
+    _step("incremental_merge, nothing new", lambda: tables.merge_fact(fact_of), more)
+    _step("int_installment_schedule, ten times", lambda: _sink(installment_schedule(read("ten"))), more)
     print(
         json.dumps(
             {
@@ -117,6 +131,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "prepare": prepare,
+                "more": more,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
             }
         )
