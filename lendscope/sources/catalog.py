@@ -282,7 +282,8 @@ class Run:
 
     def commit(self, names: Iterable[str] | None = None) -> int:
         """Make the tables this run has written (or some of them) current. Returns its number."""
-        chosen = {n: e for n, e in self.changed.items() if names is None or n in set(names)}
+        wanted = set(self.changed if names is None else names)
+        chosen = {n: e for n, e in self.changed.items() if n in wanted}
         if not chosen:
             return self.number
         entries = self.entries | chosen

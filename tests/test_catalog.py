@@ -30,6 +30,10 @@ def test_a_run_becomes_current_as_a_whole(spark, tmp_path):
     run = catalog.Run(spark, root)
     run.publish("a", spark.range(5))
     run.publish("b", spark.range(2))
+    run.publish("c", spark.range(1))
+    run.publish("d", spark.range(1))
+    assert run.commit(n for n in ("c", "d")) == 2
+    assert store.read_current(spark, root, "d").count() == 1
     assert _ids(run.read("a")) == list(range(5))
     assert store.read_current(spark, root, "a").count() == 3
     assert store.read_current(spark, root, "b") is None
