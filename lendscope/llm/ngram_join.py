@@ -14,10 +14,17 @@ own row a set pays for the length of a list by its logarithm. Sets are nodes; ex
 
 Links are what connects: inside a key, every set is first compared with one of them only (the
 pivot, the one with the commonest shingles). Sets that are connected after that need no
-comparison among each other; sets of one key that are still apart are compared exactly, after
+comparison among each other. While many pairs of a key are still apart, they are compared with
+further members of its largest group: where about half of all pairs are linked, each halves
+what is left. Sets that are apart after that are compared exactly, after
 a count of common prefix shingles has let go of pairs that cannot reach the threshold. So no link that joins different groups is
 lost, and a group of near copies never becomes all its pairs.
 
+Whole sets travel for pairs that may be linked only. Every set has 512 parity bits, each the
+parity of the number of its shingles that fall on it. Two sets differ in at least as many
+shingles as bits, so the bits refuse a pair without losing a link; they are compared inside the
+join of sets that are apart, and before the sets of any pair are made.
+
 The order counts how many sets hold a shingle, for the part of the shingles whose hash falls
 into the lowest share of the hash range (a little wider than a prefix); the others follow by
 hash. Every set sees the same order, so this choice cannot lose links.
@@ -42,6 +49,12 @@ WORDS, PERCENT = 4, 85
 WIDER = 1.7
 #: Sizes among which the boundary is sought.
 SIZES = 512
+#: Parity bits of a set, a multiple of 64.
+BITS = 512
+#: Pairs of sets apart, for each row of their keys, beyond which one more pivot is tried first;
+#: the share of compared pairs that must be links for another pivot to follow; and pivots at most.
+#: They choose how links are found, not which.
+PAIRS_PER_ROW, LINKED, PIVOTS = 8, 0.1, 4
 #: Rows and bytes of a batch of texts: the sets made of it take several times as much.
 BATCH_ROWS, BATCH_BYTES = 1_000, 4 * 1024 * 1024
 
@@ -81,6 +94,12 @@ def _name(shingles: np.ndarray) -> int:
     return xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits as longs: whether an odd number of shingles falls on each."""
+    places = (shingles & np.uint64(BITS - 1)).astype(np.intp)
+    return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def least_overlap(n, percent: int):
     """ceil(t * n), for integers and columns alike."""
     return (n * percent + 99) // 100
@@ -88,13 +107,14 @@ def least_overlap(n, percent: int):
 
 def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, limit: int) -> DataFrame:
     """doc_id, text_hash, n, node, counted, shingles (those in the counted part, or as many as a
-    prefix needs) of every row. A node is a 64-bit hash of a whole set; an empty set has none."""
+    prefix needs), bits (where there are shingles) of every row. A node is a 64-bit hash of a whole
+    set; an empty set has none."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
             for start, texts in slices(batch.column(1).to_pylist()):
-                n, node, counted, lists = [], [], [], []
+                n, node, counted, lists, bits = [], [], [], [], []
                 for shingles in shingle_sets(texts, words):
                     size = len(shingles)
                     name = _name(shingles) if size else None
@@ -105,10 +125,12 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                     alone = size * 100 // percent == size and least_overlap(size, percent) == size
                     if name in seen or alone:  # said before, or like no other set
                         lists.append([])
+                        bits.append(None)
                     else:
                         needed = size - least_overlap(size, percent) + 2
                         # Signed numbers in the order of the unsigned hashes, by which lists are cut.
                         lists.append((shingles[: max(low, needed)] ^ np.uint64(1 << 63)).view(np.int64))
+                        bits.append(parity_bits(shingles))
                         seen.add(name)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -118,8 +140,9 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                         pa.array(node, pa.int64()),
                         pa.array(counted, pa.int32()),
                         pa.array(lists, pa.list_(pa.int64())),
+                        pa.array(bits, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "text_hash", "n", "node", "counted", "shingles"],
+                    names=["doc_id", "text_hash", "n", "node", "counted", "shingles", "bits"],
                 )
 
     rows = docs.select(
@@ -128,7 +151,8 @@ def _signature(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
         text_hash(F.col(text_col)).alias("text_hash"),
     )
     return spread(rows).mapInArrow(
-        sign, "doc_id long, text_hash long, n int, node long, counted int, shingles array<long>"
+        sign,
+        "doc_id long, text_hash long, n int, node long, counted int, shingles array<long>, bits array<long>",
     )
 
 
@@ -166,7 +190,7 @@ def _prefix(size: Column, percent: int, k: int) -> Column:
 
 
 def _shared(signed: DataFrame, limit: int) -> DataFrame:
-    """node, n, rare, shared, usual: per node the shingles it has in common with other nodes, in
+    """node, n, bits, rare, shared, usual: per node the shingles it has in common with other nodes, in
     the global order, the number of counted shingles that stand before them (held by it alone),
     and how common its counted shingles are on average (logarithm)."""
     # One row for each set and shingle; a shingle holds at most one row of each set.
@@ -197,13 +221,14 @@ def _shared(signed: DataFrame, limit: int) -> DataFrame:
             ).alias("shared")
         )
     )
-    sizes = signed.where(F.size("shingles") > 0).select("node", "n", "counted").distinct()
+    sizes = signed.where(F.size("shingles") > 0).select("node", "n", "counted", "bits").distinct()
     mine = F.filter("shared", lambda s: s["part"] == 0)
     rare = F.col("counted") - F.size(mine)
     usual = F.aggregate(mine, F.lit(0.0), lambda a, s: a + F.log2(s["df"] + 1))
     return ordered.join(sizes, "node").select(
         "node",
         "n",
+        "bits",
         rare.alias("rare"),
         "shared",
         # Nodes are hashes, so their share of the range breaks ties the same way everywhere.
@@ -282,6 +307,30 @@ def _near_in_size(percent: int) -> Column:
     return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
 
+def _alike(percent: int) -> Column:
+    """Whether sets with n and m shingles may be linked, by their parity bits.
+
+    They differ in d shingles at least, so at most (n + m - d) / 2 are in common, and a link
+    needs (n + m) * t / (1 + t) of them.
+    """
+    differ = sum(
+        F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("their_bits", F.lit(i))))
+        for i in range(BITS // 64)
+    )
+    return differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that parity bits do not refuse."""
+    theirs = nodes.select(F.col("node").alias("other"), F.col("bits").alias("their_bits"))
+    return (
+        pairs.join(nodes.select("node", "bits"), "node")
+        .join(theirs, "other")
+        .where(_alike(percent))
+        .select("node", "other", "n", "m")
+    )
+
+
 def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
     """Every node of a key with the key's pivot: node, other, n, m.
 
@@ -308,35 +357,66 @@ def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _apart_pairs(keys: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one key that are not connected, and have enough of their prefixes in common.
-
-    A pair comes out of the join at its first common key only, and only if it can reach the
-    threshold: nothing before the first common shingle is in common, and what is not in one of
-    the two prefixes is at most all in common. Places in the order are compared first, since
-    that costs least.
-    """
-    named = keys.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn(
-        "label", F.coalesce("label", "node")
+def _mixed(keys: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """kind, key, node, n, label, major (the label of most rows) of the keys whose sets are not
+    all connected, and the number of pairs with different labels in them."""
+    named = (
+        keys.select("kind", "key", "node", "n")
+        .join(labels.withColumnRenamed("component", "label"), "node", "left")
+        .withColumn("label", F.coalesce("label", "node"))
     )
     per_label = named.groupBy("kind", "key", "label").agg(F.count(F.lit(1)).alias("rows"))
     mixed = saved(
         per_label.groupBy("kind", "key")
-        .agg(F.max_by("label", "rows").alias("major"), F.count(F.lit(1)).alias("labels"))
-        .where("labels > 1")
-        .drop("labels"),
+        .agg(
+            F.max_by("label", "rows").alias("major"),
+            F.count(F.lit(1)).alias("labels"),
+            ((F.pow(F.sum("rows"), F.lit(2)) - F.sum(F.pow("rows", F.lit(2)))) / 2).alias("pairs"),
+        )
+        .where("labels > 1"),
         "apart",
     )
+    rows = saved(named.join(mixed.select("kind", "key", "major"), ["kind", "key"]), "apart")
+    return rows, mixed.agg(F.sum("pairs")).first()[0] or 0
+
+
+def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Every node of a key that is not connected with its largest group, with one member of that
+    group: node, other, n, m. Another member each turn, the same one in all keys if it can be."""
+    order = F.xxhash64("node", F.lit(turn))
+    pivots = saved(
+        rows.where("label = major")
+        .groupBy("kind", "key")
+        .agg(F.max_by("node", order).alias("other"), F.max_by("n", order).alias("m")),
+        "pivots",
+    )
+    return (
+        rows.where("label <> major")
+        .join(pivots, ["kind", "key"])
+        .where(_near_in_size(percent))
+        .select("node", "other", "n", "m")
+        .distinct()
+    )
+
+
+def _apart_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one key that are not connected, and have enough of their prefixes in common.
+
+    A pair comes out of the join at its first common key only, and only if it can reach the
+    threshold: nothing before the first common shingle is in common, what is not in one of
+    the two prefixes is at most all in common, and sets differ in at least as many shingles as
+    parity bits. Places in the order are compared first, since that costs least.
+    """
     prefix = F.when(F.col("kind") == 1, _taken(percent, 1)).otherwise(_taken(percent, 2))
     rows = saved(
-        named.join(mixed, ["kind", "key"])
-        .join(nodes.select("node", "rare", "shared"), "node")
+        mixed.join(nodes.select("node", "bits", "rare", "shared"), "node")
         .withColumn("prefix", prefix["shingle"])
         .select(
             "kind",
             "key",
             "node",
             "n",
+            "bits",
             "label",
             "major",
             "prefix",
@@ -349,13 +429,14 @@ def _apart_pairs(keys: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
     )
     # The largest group of a key is compared with the others, never with itself.
     minor = rows.where("label <> major").select(
-        "kind", "key", "node", "n", "place", F.col("label").alias("own"), F.col("prefix").alias("mine")
+        "kind", "key", "node", "n", "bits", "place", F.col("label").alias("own"), F.col("prefix").alias("mine")
     )
     every = rows.select(
         F.col("kind").alias("same_kind"),
         F.col("key").alias("same_key"),
         F.col("node").alias("other"),
         F.col("n").alias("m"),
+        F.col("bits").alias("their_bits"),
         F.col("label").alias("others"),
         "major",
         F.col("place").alias("their_place"),
@@ -377,6 +458,7 @@ def _apart_pairs(keys: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
         & _near_in_size(percent)
         & (F.col("place") + wanted <= F.col("n"))
         & (F.col("their_place") + wanted <= F.col("m"))
+        & _alike(percent)
         & (first == F.col("key"))
         & (F.size(common) + beyond >= wanted),
     )
@@ -416,8 +498,9 @@ def groups(
     nodes = saved(_shared(signed, limit), "shingles")
     keys = saved(_keys(nodes, percent, _boundary(nodes, percent)), "keys")
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        """Links among pairs; the whole sets are made again, for the nodes in question only."""
+    def compare(pairs: DataFrame) -> tuple[DataFrame, int]:
+        """Links among pairs, and the number of pairs; the whole sets are made again, for the nodes
+        in question only."""
         pairs = saved(pairs, "pairs")
         asked = pairs.select("node").unionAll(pairs.select(F.col("other").alias("node"))).distinct()
         owners = saved(
@@ -429,13 +512,25 @@ def groups(
         )
         sets = _whole_sets(docs, id_col, text_col, words, owners)
         sets = saved(sets.dropDuplicates(["node"]), "sets")
-        return saved(_verified(pairs, sets, percent), "links")
-
-    near = compare(_star_pairs(keys, percent))
-    labels = saved(components(near), "components")
-    far = compare(_apart_pairs(keys, nodes, labels, percent))
+        return saved(_verified(pairs, sets, percent), "links"), pairs.count()
+
+    links, _ = compare(_possible(_star_pairs(keys, percent), nodes, percent))
+    labels = saved(components(links), "components")
+    apart, pairs = _mixed(keys, labels)
+    for turn in range(PIVOTS):
+        if pairs <= PAIRS_PER_ROW * apart.count():
+            break
+        more, asked = compare(_possible(_pivot_pairs(apart, turn, percent), nodes, percent))
+        found = more.count()
+        if found:
+            links = links.unionAll(more)
+            labels = saved(components(links), "components")
+            apart, pairs = _mixed(apart, labels)
+        if found <= LINKED * asked:
+            break
+    far, _ = compare(_apart_pairs(apart, nodes, percent))
     if not far.isEmpty():
-        labels = saved(components(near.unionAll(far)), "components")
+        labels = saved(components(links.unionAll(far)), "components")
     rows = signed.select("doc_id", "text_hash", "n", "node")
     named = rows.join(labels, "node", "left").select(
         "doc_id", "text_hash", "n", F.coalesce("component", "node").alias("group")

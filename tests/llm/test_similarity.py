@@ -153,6 +153,40 @@ def test_every_set_has_the_order_by_which_lists_are_cut(spark):
         assert seen or percent == 85
 
 
+def test_parity_bits_never_differ_in_more_places_than_sets_in_shingles():
+    rng = np.random.default_rng(11)
+    for size in (1, 7, 60, 700, 9_000):
+        for changed in (0, 1, size // 9, size):
+            one = np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2))
+            two = np.unique(np.append(one[changed:], rng.integers(0, 2**63, changed).astype(np.uint64)))
+            bits = [np.unpackbits(ngram_join.parity_bits(s).view(np.uint8)) for s in (one, two)]
+            assert len(bits[0]) == ngram_join.BITS
+            assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(one, two))
+            if not changed:
+                assert (bits[0] == bits[1]).all()
+
+
+@pytest.mark.parametrize("pivots", [0, 4])
+def test_a_group_whose_pairs_are_about_at_the_threshold(spark, monkeypatch, pivots):
+    """Some pairs are links and some are not; further pivots leave fewer to compare, and the
+    classes are the same with and without them."""
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_ROW", 0)
+    met = []
+    apart = ngram_join._apart_pairs
+    monkeypatch.setattr(ngram_join, "_apart_pairs", lambda *a: met.append(apart(*a)) or met[-1])
+    rng, base, rows = np.random.default_rng(4), [f"w{i}" for i in range(110)], []
+    for i in range(160):
+        text = list(base)
+        for place in rng.choice(len(text), int(rng.integers(1, 4)), replace=False):
+            text[place] = f"new{i}-{place}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.near_copies(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute(rows, 4, 85)
+    assert met[0].count() < 160 * 159 / 8
+
+
 def test_boundary_is_the_cheapest():
     costs = [(5, 1.0, 9.0), (6, 2.0, 8.0), (7, 9.0, 3.0), (8, 20.0, 4.0)]
     assert ngram_join.choose_boundary(costs) == 7
