@@ -33,6 +33,8 @@ from lendscope.llm.common import small_batches, spread
 TRAIN_ROWS = 20_000
 #: Quantile units for each statistic, steps of the fit, step width and weight decay.
 UNITS, STEPS, RATE, DECAY = 8, 600, 0.05, 1e-4
+#: Rows and bytes of a batch where rows pass through with all their columns.
+PASSED_ROWS, PASSED_BYTES = 1_000, 4 * 1024 * 1024
 
 STATISTICS = (
     "empty", "log_words", "chars_per_word", "long_words", "short_words", "upper", "digits",
@@ -231,7 +233,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that score at least `least`, with all their columns as they are."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, PASSED_ROWS, PASSED_BYTES)
     place = docs.columns.index(text_col)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
