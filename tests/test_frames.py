@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lendscope.operators import monthly
 from verification.frames import Frames
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,3 +14,14 @@ def test_wide_client_rows_are_made_on_all_cores(spark):
     rows = Frames(spark, SF_DIR).raw("application_train")
     assert rows.select(F.spark_partition_id()).distinct().count() > 1
     assert rows.count() == Frames(spark, SF_DIR).source("customer").where("c_custkey % 6 <> 5").count()
+
+
+def test_no_dictionary_of_statuses_where_none_is_asked_for(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a dictionary was looked up")
+
+    monkeypatch.setattr(monthly, "LatestStatus", refuse)
+    f = Frames(spark, SF_DIR)
+    assert {"pos_max_sk_dpd_def", "n_installments"} <= set(f.history.columns)
+    assert "pos_max_sk_dpd_def" in f.fct_loans.columns
+    assert "months_on_book" in f.vintage.columns
