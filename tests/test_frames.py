@@ -16,6 +16,15 @@ def test_wide_client_rows_are_made_on_all_cores(spark):
     assert rows.count() == Frames(spark, SF_DIR).source("customer").where("c_custkey % 6 <> 5").count()
 
 
+def test_a_status_history_reads_months_that_were_written(spark):
+    f = Frames(spark, SF_DIR)
+    assert all("/status-months-" in path for path in f.status_months.inputFiles())
+    written = f.status_months.groupBy("name_contract_status").count().collect()
+    again = f.pos.groupBy("name_contract_status").count().collect()
+    assert sorted(written, key=repr) == sorted(again, key=repr)
+    assert all("/status-months-" in path for path in f.status_history.inputFiles())
+
+
 def test_no_dictionary_of_statuses_where_none_is_asked_for(spark, monkeypatch):
     def refuse(*_):
         raise AssertionError("a dictionary was looked up")
