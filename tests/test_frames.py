@@ -34,3 +34,13 @@ def test_no_dictionary_of_statuses_where_none_is_asked_for(spark, monkeypatch):
     assert {"pos_max_sk_dpd_def", "n_installments"} <= set(f.history.columns)
     assert "pos_max_sk_dpd_def" in f.fct_loans.columns
     assert "months_on_book" in f.vintage.columns
+
+
+def test_checked_tables_are_written_once_and_built_on(spark):
+    f = Frames(spark, SF_DIR)
+    before = f.fct_loans.collect()
+    f = Frames(spark, SF_DIR)
+    loans = f.tables(["fct_loans", "stg_bureau"])["fct_loans"]
+    assert all("/fct-loans-" in path for path in loans.inputFiles())
+    assert any("/fct-loans-" in path for path in f.vintage.inputFiles())
+    assert sorted(loans.collect(), key=repr) == sorted(before, key=repr)
