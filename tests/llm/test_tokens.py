@@ -60,6 +60,15 @@ def test_words_in_a_row_have_the_ids_of_the_text(library, parts):
         assert small.counts(texts).tolist() == [len(x) for x in want]
 
 
+def test_memo_holds_parts_of_words_only():
+    forms = [w + s for w in ("word", "Word", "WORD") for s in ("", ",", "!")]
+    encoder = WordEncoder(PATH)
+    ids, counts = encoder.encode([" ".join(forms)])
+    assert ids.tolist() == encoder.tokenizer.encode(" ".join(forms), add_special_tokens=False).ids
+    assert counts.tolist() == [len(ids)]
+    assert set(encoder.memo) == {"", "word", ",", "!"}
+
+
 def test_slices_cover_all_texts():
     texts = ["a" * n for n in (3, 0, 9, 1, 1)] + [None]
     runs = list(slices(texts, most=4))
