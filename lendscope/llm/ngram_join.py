@@ -274,31 +274,44 @@ def _boundary(nodes: DataFrame, percent: int) -> int:
 
 
 def _keys(nodes: DataFrame, percent: int, boundary: int) -> DataFrame:
-    """kind (1 list, 2 subset), key, node, n, usual."""
+    """kind (1 list, 2 subset), key, node, n, usual, place: how many shingles of the set stand
+    before the (last) one of the key, without the other one of a subset."""
     lists = nodes.where(F.col("n") * 100 >= boundary * percent).select(
         F.lit(1).alias("kind"),
-        F.explode(_taken(percent, 1)["shingle"]).alias("key"),
+        F.posexplode(_taken(percent, 1)["shingle"]).alias("at", "key"),
         "node",
         "n",
         "usual",
+        "rare",
     )
+    lists = lists.select("kind", "key", "node", "n", "usual", (F.col("rare") + F.col("at")).alias("place"))
     two = _taken(percent, 2)
     subsets = nodes.where(F.col("n") < boundary).select(
-        F.lit(2).alias("kind"),
         F.explode(
             F.flatten(
                 F.transform(
                     two,
                     lambda a, i: F.transform(
                         F.slice(two, i + 2, F.greatest(F.size(two) - i - 1, F.lit(0))),
-                        lambda b: F.xxhash64(a["shingle"], b["shingle"]),
+                        lambda b, j: F.struct(
+                            F.xxhash64(a["shingle"], b["shingle"]).alias("key"), (i + j).alias("at")
+                        ),
                     ),
                 )
             )
-        ).alias("key"),
+        ).alias("subset"),
+        "node",
+        "n",
+        "usual",
+        "rare",
+    )
+    subsets = subsets.select(
+        F.lit(2).alias("kind"),
+        "subset.key",
         "node",
         "n",
         "usual",
+        (F.col("rare") + F.col("subset.at")).alias("place"),
     )
     return lists.unionAll(subsets)
 
@@ -358,10 +371,10 @@ def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
 
 
 def _mixed(keys: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """kind, key, node, n, label, major (the label of most rows) of the keys whose sets are not
+    """kind, key, node, n, place, label, major (the label of most rows) of the keys whose sets are not
     all connected, and the number of pairs with different labels in them."""
     named = (
-        keys.select("kind", "key", "node", "n")
+        keys.select("kind", "key", "node", "n", "place")
         .join(labels.withColumnRenamed("component", "label"), "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
     )
@@ -402,34 +415,15 @@ def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
 def _apart_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of one key that are not connected, and have enough of their prefixes in common.
 
-    A pair comes out of the join at its first common key only, and only if it can reach the
-    threshold: nothing before the first common shingle is in common, what is not in one of
-    the two prefixes is at most all in common, and sets differ in at least as many shingles as
-    parity bits. Places in the order are compared first, since that costs least.
+    A pair comes out of the join if it can reach the threshold, were the key its first common one:
+    nothing that stands before is in common then, and sets differ in at least as many shingles
+    as parity bits. Rows are narrow there. Prefixes are fetched for the pairs that come out: what
+    is not in one of the two is at most all in common.
     """
-    prefix = F.when(F.col("kind") == 1, _taken(percent, 1)).otherwise(_taken(percent, 2))
-    rows = saved(
-        mixed.join(nodes.select("node", "bits", "rare", "shared"), "node")
-        .withColumn("prefix", prefix["shingle"])
-        .select(
-            "kind",
-            "key",
-            "node",
-            "n",
-            "bits",
-            "label",
-            "major",
-            "prefix",
-            F.when(F.col("kind") == 1, F.col("rare") + F.array_position("prefix", F.col("key")) - 1)
-            .otherwise(0)
-            .cast("int")
-            .alias("place"),
-        ),
-        "apart",
-    )
+    rows = saved(mixed.join(nodes.select("node", "bits"), "node"), "apart")
     # The largest group of a key is compared with the others, never with itself.
     minor = rows.where("label <> major").select(
-        "kind", "key", "node", "n", "bits", "place", F.col("label").alias("own"), F.col("prefix").alias("mine")
+        "kind", "key", "node", "n", "bits", "place", F.col("label").alias("own")
     )
     every = rows.select(
         F.col("kind").alias("same_kind"),
@@ -440,15 +434,9 @@ def _apart_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         F.col("label").alias("others"),
         "major",
         F.col("place").alias("their_place"),
-        F.col("prefix").alias("theirs"),
-    )
-    common = F.array_intersect("mine", "theirs")
-    first = F.when(F.col("kind") == 1, F.get(common, F.lit(0))).otherwise(
-        F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1)))
     )
     least = lambda c: F.floor((c * percent + 99) / 100)
     wanted = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
-    beyond = F.greatest(least(F.col("n")), least(F.col("m"))) - F.col("kind")
     met = minor.join(
         every,
         (F.col("kind") == F.col("same_kind"))
@@ -458,16 +446,24 @@ def _apart_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         & _near_in_size(percent)
         & (F.col("place") + wanted <= F.col("n"))
         & (F.col("their_place") + wanted <= F.col("m"))
-        & _alike(percent)
-        & (first == F.col("key"))
-        & (F.size(common) + beyond >= wanted),
+        & _alike(percent),
     )
-    return met.select(
+    pairs = met.select(
         F.least("node", "other").alias("node"),
         F.greatest("node", "other").alias("other"),
         F.when(F.col("node") < F.col("other"), F.col("n")).otherwise(F.col("m")).alias("n"),
         F.when(F.col("node") < F.col("other"), F.col("m")).otherwise(F.col("n")).alias("m"),
-    ).distinct()
+    )
+    pairs = saved(pairs.distinct(), "apart")
+    prefixes = nodes.select("node", _taken(percent, 2)["shingle"].alias("prefix"))
+    common = F.size(F.array_intersect("mine", "prefix"))
+    beyond = F.greatest(least(F.col("n")), least(F.col("m"))) - 2
+    return (
+        pairs.join(prefixes.withColumnRenamed("prefix", "mine"), "node")
+        .join(prefixes.withColumnRenamed("node", "other"), "other")
+        .where(common + beyond >= wanted)
+        .select("node", "other", "n", "m")
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

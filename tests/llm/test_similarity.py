@@ -187,6 +187,16 @@ def test_a_group_whose_pairs_are_about_at_the_threshold(spark, monkeypatch, pivo
     assert met[0].count() < 160 * 159 / 8
 
 
+def test_keys_know_how_many_shingles_stand_before_them(spark):
+    nodes = spark.createDataFrame(
+        [(1, 20, 1, [(0, 2, 10), (0, 2, 11), (1, 0, 50)], 0.5)],
+        "node long, n int, rare int, shared array<struct<part int, df int, shingle long>>, usual double",
+    )
+    got = ngram_join._keys(nodes, 85, 21).collect()
+    assert sorted((r.key, r.place) for r in got if r.kind == 1) == [(10, 1), (11, 2), (50, 3)]
+    assert sorted(r.place for r in got if r.kind == 2) == [1, 2, 2]
+
+
 def test_boundary_is_the_cheapest():
     costs = [(5, 1.0, 9.0), (6, 2.0, 8.0), (7, 9.0, 3.0), (8, 20.0, 4.0)]
     assert ngram_join.choose_boundary(costs) == 7
