@@ -44,3 +44,9 @@ def test_checked_tables_are_written_once_and_built_on(spark):
     assert all("/fct-loans-" in path for path in loans.inputFiles())
     assert any("/fct-loans-" in path for path in f.vintage.inputFiles())
     assert sorted(loans.collect(), key=repr) == sorted(before, key=repr)
+
+
+def test_joins_of_the_fact_move_facts_only(spark):
+    plan = Frames(spark, SF_DIR).fct_installments._jdf.queryExecution().optimizedPlan().toString()
+    above, joins = plan[: plan.index("Join")], plan[plan.index("Join") :]
+    assert "md5(" in above and "md5(" not in joins and "90+" not in joins
