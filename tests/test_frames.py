@@ -50,3 +50,19 @@ def test_joins_of_the_fact_move_facts_only(spark):
     plan = Frames(spark, SF_DIR).fct_installments._jdf.queryExecution().optimizedPlan().toString()
     above, joins = plan[: plan.index("Join")], plan[plan.index("Join") :]
     assert "md5(" in above and "md5(" not in joins and "90+" not in joins
+
+
+def test_the_coverage_check_builds_the_schedule_once(spark, monkeypatch):
+    import __spark_entry__
+
+    written = []
+    publish = Frames.publish
+    monkeypatch.setattr(Frames, "publish", lambda f, *names: (written.extend(names), publish(f, *names)))
+    query = __spark_entry__.queries()["chk_fct_vs_schedule"]
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get(initial, None) is None
+    try:
+        query(spark, SF_DIR).collect()
+        assert written == ["schedule"] and spark.conf.get(initial) == "512"
+    finally:
+        spark.conf.unset(initial)
