@@ -101,6 +101,15 @@ def test_a_merge_writes_the_buckets_it_touches(spark, tmp_path):
     assert set(_files(root, "t")) == set(before) | {p for p in _files(root, "t") if "version-000002" in str(p)}
 
 
+def test_a_bucket_is_written_by_all_tasks_without_an_exchange(spark, tmp_path):
+    run = catalog.Run(spark, str(tmp_path))
+    run.publish_buckets("t", spark.range(0, 1000, 1, 4).select("id"), ["id"], 2)
+    run.merge("t", spark.range(500, 1500, 1, 4).select("id"))
+    assert _ids(run.read("t")) == list(range(1500))
+    first = list(Path(tmp_path, "t", "version-000001").glob("_bucket=*/*.parquet"))
+    assert len(first) == 2 * 4
+
+
 def test_buckets_may_lose_and_gain_all_rows(spark, tmp_path):
     run = catalog.Run(spark, str(tmp_path))
     run.publish_buckets("t", spark.range(0).select("id"), ["id"], 4)
