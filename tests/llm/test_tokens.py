@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import pathlib
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -60,6 +63,32 @@ def test_words_in_a_row_have_the_ids_of_the_text(library, parts):
         assert small.counts(texts).tolist() == [len(x) for x in want]
 
 
+MEMORY = """
+import resource
+import numpy as np
+from lendscope.llm.queries import tokenizer_path
+from lendscope.llm.word_ids import WordEncoder, slices
+
+most = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+coder = WordEncoder(tokenizer_path())
+assert coder.counts(["a"]) == [1]
+before, rng = most(), np.random.default_rng(0)
+for _ in range(2):
+    letters = rng.integers(97, 123, (560_000, 8), np.uint8)
+    letters[:, 7] = 32
+    text = letters.tobytes().decode()
+    for _, some in slices([text[i : i + 8000] for i in range(0, len(text), 8000)]):
+        coder.counts(some)
+print(most() - before)
+"""
+
+
+def test_a_worker_that_meets_ever_new_words_stays_small():
+    root = pathlib.Path(packing.__file__).parents[2]
+    ran = subprocess.run([sys.executable, "-c", MEMORY], cwd=root, capture_output=True, text=True, check=True)
+    assert float(ran.stdout) < 260  # MB; two workers share an executor with the JVM
+
+
 def test_memo_holds_parts_of_words_only():
     forms = [w + s for w in ("word", "Word", "WORD") for s in ("", ",", "!")]
     encoder = WordEncoder(PATH)
