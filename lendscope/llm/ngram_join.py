@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import saved, small_batches, small_table, spread, text_hash
+from lendscope.llm.common import TASK_SETS, gathered, saved, small_batches, small_table, spread, text_hash
 from lendscope.llm.components import components
 from lendscope.llm.word_ids import slices
 
@@ -344,13 +344,13 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(keys: DataFrame, rows: int, percent: int) -> DataFrame:
     """Every node of a key with the key's pivot: node, other, n, m.
 
     The pivot is the node with the commonest shingles: of many copies of one text that were
     changed here and there, it is the text itself or the copy next to it.
     """
-    pivots = saved(
+    pivots = (
         keys.groupBy("kind", "key")
         .agg(
             F.max_by("node", "usual").alias("other"),
@@ -359,9 +359,9 @@ def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
             F.max("node").alias("most"),
         )
         .where("least <> most")
-        .drop("least", "most"),
-        "pivots",
+        .drop("least", "most")
     )
+    pivots = saved(gathered(pivots, rows), "pivots")
     return (
         keys.join(pivots, ["kind", "key"])
         .where((F.col("node") != F.col("other")) & _near_in_size(percent))
@@ -370,39 +370,41 @@ def _star_pairs(keys: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _mixed(keys: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+def _mixed(keys: DataFrame, count: int, labels: DataFrame) -> tuple[DataFrame, int, int]:
     """kind, key, node, n, place, label, major (the label of most rows) of the keys whose sets are not
-    all connected, and the number of pairs with different labels in them."""
+    all connected, their number, and the number of pairs with different labels in them. `count` is
+    the number of rows of `keys`."""
     named = (
         keys.select("kind", "key", "node", "n", "place")
         .join(labels.withColumnRenamed("component", "label"), "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
     )
     per_label = named.groupBy("kind", "key", "label").agg(F.count(F.lit(1)).alias("rows"))
-    mixed = saved(
+    mixed = (
         per_label.groupBy("kind", "key")
         .agg(
             F.max_by("label", "rows").alias("major"),
             F.count(F.lit(1)).alias("labels"),
             ((F.pow(F.sum("rows"), F.lit(2)) - F.sum(F.pow("rows", F.lit(2)))) / 2).alias("pairs"),
         )
-        .where("labels > 1"),
-        "apart",
+        .where("labels > 1")
     )
-    rows = saved(named.join(mixed.select("kind", "key", "major"), ["kind", "key"]), "apart")
-    return rows, mixed.agg(F.sum("pairs")).first()[0] or 0
+    mixed = saved(gathered(mixed, count), "apart")
+    rows = named.join(mixed.select("kind", "key", "major"), ["kind", "key"])
+    rows = saved(gathered(rows, count), "apart")
+    return rows, rows.count(), mixed.agg(F.sum("pairs")).first()[0] or 0
 
 
-def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+def _pivot_pairs(rows: DataFrame, count: int, turn: int, percent: int) -> DataFrame:
     """Every node of a key that is not connected with its largest group, with one member of that
     group: node, other, n, m. Another member each turn, the same one in all keys if it can be."""
     order = F.xxhash64("node", F.lit(turn))
-    pivots = saved(
+    pivots = (
         rows.where("label = major")
         .groupBy("kind", "key")
-        .agg(F.max_by("node", order).alias("other"), F.max_by("n", order).alias("m")),
-        "pivots",
+        .agg(F.max_by("node", order).alias("other"), F.max_by("n", order).alias("m"))
     )
+    pivots = saved(gathered(pivots, count), "pivots")
     return (
         rows.where("label <> major")
         .join(pivots, ["kind", "key"])
@@ -491,42 +493,44 @@ def groups(
     small_batches(spark, BATCH_ROWS, BATCH_BYTES)
     limit = int(min(0.49, WIDER * (1 - percent / 100)) * 2**64)
     signed = saved(_signature(docs, id_col, text_col, words, percent, limit), "shingles")
-    nodes = saved(_shared(signed, limit), "shingles")
+    nodes = saved(gathered(_shared(signed, limit), signed.count(), TASK_SETS), "shingles")
     keys = saved(_keys(nodes, percent, _boundary(nodes, percent)), "keys")
-
-    def compare(pairs: DataFrame) -> tuple[DataFrame, int]:
-        """Links among pairs, and the number of pairs; the whole sets are made again, for the nodes
-        in question only."""
+    # For each node a document that holds its set.
+    holders = signed.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull())
+    holders = holders.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    holders = saved(gathered(holders, signed.count()), "holders")
+
+    def compare(pairs: DataFrame) -> tuple[DataFrame, int, int]:
+        """Links among pairs, their number, and the number of pairs; the whole sets are made again,
+        for the nodes in question only."""
         pairs = saved(pairs, "pairs")
+        count = pairs.count()
         asked = pairs.select("node").unionAll(pairs.select(F.col("other").alias("node"))).distinct()
-        owners = saved(
-            signed.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull())
-            .groupBy("node")
-            .agg(F.min("doc_id").alias("doc_id"))
-            .join(asked, "node"),
-            "pairs",
-        )
-        sets = _whole_sets(docs, id_col, text_col, words, owners)
-        sets = saved(sets.dropDuplicates(["node"]), "sets")
-        return saved(_verified(pairs, sets, percent), "links"), pairs.count()
-
-    links, _ = compare(_possible(_star_pairs(keys, percent), nodes, percent))
-    labels = saved(components(links), "components")
-    apart, pairs = _mixed(keys, labels)
+        owners = saved(gathered(holders.join(asked, "node"), 2 * count), "pairs")
+        sets = _whole_sets(docs, id_col, text_col, words, owners).dropDuplicates(["node"])
+        sets = saved(gathered(sets, 2 * count, TASK_SETS), "sets")
+        links = saved(gathered(_verified(pairs, sets, percent), count, TASK_SETS), "links")
+        return links, links.count(), count
+
+    total = keys.count()
+    star = gathered(_possible(_star_pairs(keys, total, percent), nodes, percent), total)
+    links, linked, _ = compare(star)
+    labels = saved(components(links, linked), "components")
+    apart, rows_apart, pairs = _mixed(keys, total, labels)
     for turn in range(PIVOTS):
-        if pairs <= PAIRS_PER_ROW * apart.count():
+        if pairs <= PAIRS_PER_ROW * rows_apart:
             break
-        more, asked = compare(_possible(_pivot_pairs(apart, turn, percent), nodes, percent))
-        found = more.count()
+        met = _possible(_pivot_pairs(apart, rows_apart, turn, percent), nodes, percent)
+        more, found, asked = compare(gathered(met, rows_apart))
         if found:
-            links = links.unionAll(more)
-            labels = saved(components(links), "components")
-            apart, pairs = _mixed(apart, labels)
+            links, linked = links.unionAll(more), linked + found
+            labels = saved(components(links, linked), "components")
+            apart, rows_apart, pairs = _mixed(apart, rows_apart, labels)
         if found <= LINKED * asked:
             break
-    far, _ = compare(_apart_pairs(apart, nodes, percent))
-    if not far.isEmpty():
-        labels = saved(components(links.unionAll(far)), "components")
+    far, found, _ = compare(_apart_pairs(apart, nodes, percent))
+    if found:
+        labels = saved(components(links.unionAll(far), linked + found), "components")
     rows = signed.select("doc_id", "text_hash", "n", "node")
     named = rows.join(labels, "node", "left").select(
         "doc_id", "text_hash", "n", F.coalesce("component", "node").alias("group")

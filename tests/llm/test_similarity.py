@@ -41,6 +41,27 @@ def test_components(spark, kind):
     assert {r.node: r.component for r in got} == _classes({n for x in real for n in x}, real)
 
 
+def test_few_links_need_few_tasks_whatever_the_number_of_partitions(spark, monkeypatch):
+    from lendscope.llm import components as module
+
+    held = {"spark.sql.shuffle.partitions": "90", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    tasks, write = [], module.saved
+    monkeypatch.setattr(module, "saved", lambda df, name: (tasks.append(df.rdd.getNumPartitions()), write(df, name))[1])
+    links = [(i, i + 1) for i in range(0, 300, 2)] + [(i, i + 2) for i in range(0, 40)]
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        found = module.components(spark.createDataFrame(links, "a long, b long"), len(links))
+        tasks.append(found.rdd.getNumPartitions())
+        got = {r.node: r.component for r in found.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == _classes({n for x in links for n in x}, links)
+    assert max(tasks) <= spark.sparkContext.defaultParallelism
+
+
 def _shingles(text, words):
     parts = text.encode().lower().split()
     if len(parts) < words:
