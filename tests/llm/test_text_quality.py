@@ -239,6 +239,26 @@ def test_licence_query_inherits_nothing_from_documents_of_one_source(spark, tmp_
     assert got == {1: ("MIT", "own"), 2: (None, "none"), 3: (None, "none")}
 
 
+def test_page_query_inherits_from_the_nearest_directory_of_the_url(spark, tmp_path):
+    shown = "<html><style>p{}</style><body><p>some words of prose</p><p>%s</p></body></html>"
+    rows = [
+        (1, "https://a.example.org/lib/LICENSE?x=1", MIT),
+        (2, "http://a.example.org/lib/src/page#top", shown % "more prose"),
+        (3, "https://a.example.org/lib/src/own", shown % APACHE),
+        (4, "https://a.example.org/other", shown % "more prose"),
+        (5, "https://b.example.org/lib/src/page", shown % "more prose"),
+        (6, None, None),
+    ]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    frame = queries.op6_page_licenses(spark, str(tmp_path))
+    assert "Python" not in frame._jdf.queryExecution().toString()
+    got = {r.doc_id: (r.license, r.origin, r.from_path) for r in frame.collect()}
+    assert got[1][:2] == ("MIT", "own")
+    assert got[2] == ("MIT", "inherited", "a.example.org/lib/LICENSE")
+    assert got[3][:2] == ("Apache-2.0", "own")
+    assert got[4] == got[5] == got[6] == (None, "none", None)
+
+
 def _made_up(rng, n):
     words = ["river", "boat", "hill", "quiet", "long", "way", "home", "stone", "garden", "evening"]
     good, bad = [], []
