@@ -239,6 +239,23 @@ def test_licence_query_inherits_nothing_from_documents_of_one_source(spark, tmp_
     assert got == {1: ("MIT", "own"), 2: (None, "none"), 3: (None, "none")}
 
 
+def test_licence_query_inherits_from_a_source_that_is_a_licence_file(spark, tmp_path):
+    rows = [
+        (1, MIT, "en", "lib/LICENSE"), (2, "some prose", "en", "lib"), (3, "prose", None, "lib/src/a.py"),
+        (4, "prose\n" + APACHE, "en", "lib/src"), (5, "prose", "en", "other"), (6, "prose", "de", None),
+        (7, APACHE, "en", "lib/src/COPYING.txt"), (8, "prose", "fr", "license"), (2, "some prose", "en", "lib"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.license, r.origin, r.from_path) for r in queries.op6_licenses(spark, str(tmp_path)).collect())
+    mit, apache = ("MIT", "inherited", "lib/LICENSE"), ("Apache-2.0", "inherited", "lib/src/COPYING.txt")
+    assert got == [
+        (1, "MIT", "own", "lib/LICENSE"), (2, *mit), (2, *mit), (3, *apache),
+        (4, "Apache-2.0", "own", "lib/src/en/4.txt"), (5, None, "none", None), (6, None, "none", None),
+        (7, "Apache-2.0", "own", "lib/src/COPYING.txt"), (8, None, "none", None),
+    ]
+
+
 def test_page_query_inherits_from_the_nearest_directory_of_the_url(spark, tmp_path):
     shown = "<html><style>p{}</style><body><p>some words of prose</p><p>%s</p></body></html>"
     rows = [
