@@ -27,6 +27,8 @@ from lendscope.llm.common import saved, small_table, text_hash
 #: Words of a window; items with fewer words are one window. An item needs so many words for its
 #: template to say anything; shorter ones are looked for word by word.
 WINDOW, TEMPLATE_WORDS = 8, 4
+#: Windows of all items up to which their texts are broadcast.
+BROADCAST_WINDOWS = 200_000
 #: Share of an item's windows that a document must hold, and of slots that may conflict.
 COVERAGE, CONFLICTS = 0.5, 0.2
 
@@ -199,7 +201,7 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str) -> Dat
         .agg(F.array_distinct(F.flatten(F.collect_set("origin"))).alias("wanted"))
     )
     return (
-        windows.join(wanted, "item_id")
+        windows.join(wanted.hint("merge"), "item_id")
         .withColumn("origin", F.array_intersect("origin", "wanted"))
         .withColumn("n_windows", F.size("wanted"))
         .where(F.size("origin") > 0)
@@ -261,15 +263,17 @@ def find_leaks(
         "leaks",
     )
     # What falls short even if all alignments are taken together needs no look at its slots.
-    likely = (
+    likely = saved(
         met.select(*ROW, "item_id", "n_windows", F.explode("origin").alias("origin"))
         .groupBy(*ROW, "item_id", "n_windows")
         .agg(F.countDistinct("origin").alias("found"))
         .where(F.col("found") >= F.col("n_windows") * coverage)
-        .select(*ROW, "item_id")
+        .select(*ROW, "item_id"),
+        "leaks",
     )
+    # A semi join: of an inner one Spark may broadcast `met`, whose files are a hundredth of its rows.
     aligned = saved(
-        met.join(likely, [*ROW, "item_id"])
+        met.join(small_table(likely), [*ROW, "item_id"], "left_semi")
         .groupBy(*ROW, "item_id", "n_windows", "kind", (F.col("at") - F.col("place")).alias("shift"))
         .agg(
             F.array_sort(F.collect_set("place")).alias("places"),
@@ -298,6 +302,7 @@ def find_leaks(
         )
         for kind in kinds
     )
+    item_texts = item_texts.hint("broadcast" if items.count() <= BROADCAST_WINDOWS else "merge")
     # Places of the item that lie in a matched window and hold a placeholder.
     inside = F.array_distinct(
         F.flatten(

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendscope.llm import decontaminate, licenses, quality, queries
+from lendscope.llm import common, decontaminate, licenses, quality, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -154,6 +154,31 @@ def test_leak_query_against_plain_windows(spark):
         assert len(runs(item.text) & held[doc_id]) >= 0.3 * len(runs(item.text))
 
 
+def test_windows_that_met_are_not_broadcast(spark, benchmark, monkeypatch):
+    plans, saved = {}, decontaminate.saved
+
+    def recorded(df, purpose):
+        plans[tuple(df.columns)] = df._jdf.queryExecution().executedPlan().toString()
+        return saved(df, purpose)
+
+    monkeypatch.setattr(decontaminate, "saved", recorded)
+    docs = spark.createDataFrame([(k, QUESTION + PROSE * 3) for k in range(500)], "doc_id long, text string")
+    assert {d for d, _ in _found(docs, benchmark)} == set(range(500))
+    (aligned,) = (plan for columns, plan in plans.items() if "places" in columns)
+    # Windows are on the left; the pairs that are likely, on the right, are counted before.
+    assert "Join" in aligned and "BuildLeft" not in aligned
+    assert "BuildLeft" not in plans[tuple(decontaminate.ROW)]
+
+
+def test_rows_not_file_sizes_decide_on_broadcasts(spark):
+    keys = common.saved(spark.range(2_000), "keys")
+    left = spark.range(3_000)
+    for rows, join in ((2_000, "BroadcastHashJoin"), (1_999, "SortMergeJoin")):
+        joined = left.join(common.small_table(keys, rows), "id", "left_semi")
+        assert join in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2_000
+
+
 MIT, APACHE = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
 
 
