@@ -66,3 +66,21 @@ def test_the_coverage_check_builds_the_schedule_once(spark, monkeypatch):
         assert written == ["schedule"] and spark.conf.get(initial) == "512"
     finally:
         spark.conf.unset(initial)
+
+
+def test_versions_travel_as_rows_not_as_partial_sums(spark):
+    plan = Frames(spark, SF_DIR).schedule._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("REPARTITION_BY_COL", 1)
+    assert "partial_min_by" in above and "partial_min_by" not in below
+
+
+def test_tasks_read_a_bounded_share_of_files(spark):
+    import __spark_entry__
+
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    try:
+        __spark_entry__.queries()["stg_bureau"](spark, SF_DIR)
+        assert spark.conf.get(conf) == "8m"
+    finally:
+        spark.conf.set(conf, before)
