@@ -68,6 +68,21 @@ def test_the_coverage_check_builds_the_schedule_once(spark, monkeypatch):
         spark.conf.unset(initial)
 
 
+def test_monthly_balances_are_summarised_once_for_all_that_are_checked(spark, monkeypatch):
+    from verification.queries import REGISTRY
+
+    built = []
+    publish = Frames.publish
+    monkeypatch.setattr(Frames, "publish", lambda f, *names: (built.append(f), publish(f, *names)))
+    for name in ("dq_suite_marts", "verify_layers"):
+        REGISTRY[name](spark, SF_DIR)
+        # What was not written itself reads what was, and derives no months from the payments again.
+        for model in ("pos_measures", "history", "vintage"):
+            files = getattr(built[-1], model).inputFiles()
+            assert files and not any("/lineitem.parquet" in path for path in files), (name, model)
+    assert not any("/lineitem.parquet" in path for path in built[-1].status_history.inputFiles())
+
+
 def test_versions_travel_as_rows_not_as_partial_sums(spark):
     plan = Frames(spark, SF_DIR).schedule._jdf.queryExecution().executedPlan().toString()
     above, below = plan.split("REPARTITION_BY_COL", 1)
