@@ -6,9 +6,9 @@ a phrase lie in one range; a range unites its automata and sums their counts. Th
 parts of a phrase are found by composing an automaton of the parts with that of their range.
 
 What cannot reach the least count is not counted: a phrase only occurs as often as its least
-frequent word, or pair. So words are counted first, then 64-bit hashes of the pairs of frequent
-words, as plain numbers, and then the phrases whose pairs are all frequent. Which words (pairs)
-are frequent travels as a bitmap of bounded size, by hash: a collision lets a rare one pass and
+frequent word, pair, or three words in a row. So words are counted first, then 64-bit hashes of the
+pairs of frequent words, as plain numbers, then those of the triples of which both pairs are frequent, and
+then the phrases whose pairs and triples all are. Which words (pairs, triples) are frequent travels as a bitmap of bounded size, by hash: a collision lets a rare one pass and
 never stops a frequent one. Phrases are counted by their words, so counts stay exact at any size
 of the vocabulary.
 
@@ -187,15 +187,43 @@ def pair_hash_counts(shard: Shard, lang: str, bitmap: np.ndarray) -> tuple[np.nd
     return np.unique(hashes[at + 1 >= shard.skip], return_counts=True)
 
 
+def _triples(at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where two of the pairs overlap in a word, and the hash of the three words, from places of
+    pairs and their hashes."""
+    follows = np.flatnonzero(at[1:] == at[:-1] + 1)
+    return at[follows], _pair_hashes(hashes[follows], hashes[follows + 1])
+
+
+def triple_hash_counts(
+    shard: Shard, lang: str, bitmap: np.ndarray, pair_bitmap: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of three words in a row, both pairs frequent, and how often each occurs."""
+    _, at, hashes = _frequent_pairs(shard, lang, bitmap)
+    frequent = _marked(pair_bitmap, hashes)
+    at, hashes = _triples(at[frequent], hashes[frequent])
+    return np.unique(hashes[at + 2 >= shard.skip], return_counts=True)
+
+
 def phrase_counts(
-    shard: Shard, lang: str, bitmap: np.ndarray, pair_bitmap: np.ndarray, longest: int
+    shard: Shard,
+    lang: str,
+    bitmap: np.ndarray,
+    pair_bitmap: np.ndarray,
+    longest: int,
+    triple_bitmap: np.ndarray | None = None,
 ) -> list[tuple[Phrase, int]]:
-    """Phrases of 2 to `longest` words, all pairs in them frequent, with their counts, ascending."""
+    """Phrases of 2 to `longest` words, all pairs (and triples, if a bitmap tells them) in them
+    frequent, with their counts, ascending."""
     ids = shard.ids()
     good, at, hashes = _frequent_pairs(shard, lang, bitmap)
-    at = at[_marked(pair_bitmap, hashes)]
+    frequent = _marked(pair_bitmap, hashes)
+    at, hashes = at[frequent], hashes[frequent]
+    triples, triple_hashes = _triples(at, hashes)
+    # Whether a frequent triple begins at a place.
     linked = np.zeros(max(len(ids), 1), bool)
-    linked[at] = True
+    if triple_bitmap is not None:
+        triples = triples[_marked(triple_bitmap, triple_hashes)]
+    linked[triples] = True
     words = shard.words()
     numbers = sorted(np.flatnonzero(good).tolist(), key=words.__getitem__)
     place = np.zeros(len(words), np.int64)
@@ -207,9 +235,7 @@ def phrase_counts(
     found: list[tuple[Phrase, int]] = []
     for length in range(2, longest + 1):
         if length > 2:
-            goes_on = at + length - 2 < len(places)
-            at, which = at[goes_on], which[goes_on]
-            goes_on = linked[at + length - 2]
+            goes_on = linked[at + length - 3]
             at, which = at[goes_on], which[goes_on]
         if not len(at):
             break
@@ -407,13 +433,15 @@ def _all_words(texts: DataFrame) -> DataFrame:
     return saved(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "collocations")
 
 
-def _frequent_pair_hashes(texts: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
-    """Hashes of pairs that occur `least` times; plain numbers, added up before and after the
-    shuffle."""
+def _frequent_hashes(
+    texts: DataFrame, overlap: int, count: Callable[[Shard, str], tuple[np.ndarray, np.ndarray]], least: int
+) -> DataFrame:
+    """Hashes, of pairs or triples, that occur `least` times; plain numbers, added up before and
+    after the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, shard in shards(batches, 1):
-            hashes, counts = pair_hash_counts(shard, lang, bitmap)
+        for lang, shard in shards(batches, overlap):
+            hashes, counts = count(shard, lang)
             for start in range(0, len(hashes), 100_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashes[start : start + 100_000].view(np.int64)), pa.array(counts[start : start + 100_000], pa.int64())],
@@ -532,12 +560,22 @@ def collocations(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = range_bounds(frequent, totals, 2 * parts)
 
-    pair_bitmap = bitmap_of(_frequent_pair_hashes(texts, bitmap, least))
+    pair_bitmap = bitmap_of(
+        _frequent_hashes(texts, 1, lambda shard, lang: pair_hash_counts(shard, lang, bitmap), least)
+    )
+    # Phrases of two words hold no triples.
+    triple_bitmap = None
+    if longest > 2:
+        triple_bitmap = bitmap_of(
+            _frequent_hashes(
+                texts, 2, lambda shard, lang: triple_hash_counts(shard, lang, bitmap, pair_bitmap), least
+            )
+        )
     phrases = _shard_blobs(
         texts,
         longest - 1,
         bounds,
-        lambda shard, lang: phrase_counts(shard, lang, bitmap, pair_bitmap, longest),
+        lambda shard, lang: phrase_counts(shard, lang, bitmap, pair_bitmap, longest, triple_bitmap),
     )
     counted = united(_word_blobs(frequent, bounds).unionByName(phrases), least)
 

@@ -170,3 +170,25 @@ def test_the_query_covers_all_documents(spark):
     rows = [(r.text, r.lang) for r in docs.collect()]
     want = brute(rows, 100)
     assert want and found(queries.QUERIES["op12_collocations"](spark, SF)) == want
+
+
+def test_phrases_of_rare_triples_are_not_counted_by_their_words():
+    # All pairs are frequent, of the triples only those of the first text.
+    texts = ["a b c d"] * 3 + ["b c a b", "c d a b", "d a b d", "a b d a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    ((lang, shard),) = collocations.shards(iter([batch]), 4)
+    all_bits = np.full(1 << 10, 255, np.uint8)
+    hashes, counts = collocations.triple_hash_counts(shard, lang, all_bits, all_bits)
+    want = Counter(t[i : i + 3] for t in (tuple(x.split()) for x in texts) for i in range(len(t) - 2))
+    assert sorted(counts.tolist()) == sorted(want.values())
+    marked = np.zeros(1 << 10, np.uint8)
+    for at in (hashes[counts >= 3] & np.uint64(8 * len(marked) - 1)).tolist():
+        marked[at >> 3] |= 1 << (at & 7)
+    got = dict(collocations.phrase_counts(shard, lang, all_bits, all_bits, 5, marked))
+    long = {tuple(p.decode() for p in phrase): n for phrase, n in got.items() if len(phrase) > 2}
+    assert long.items() >= {("a", "b", "c"): 3, ("b", "c", "d"): 3, ("a", "b", "c", "d"): 3}.items()
+    assert long.keys() <= {("a", "b", "c"), ("b", "c", "d"), ("a", "b", "c", "d"), ("b", "c", "a"), ("d", "a", "b")} | {
+        t for t, n in want.items() if n >= 3
+    }
+    # The pairs are counted whatever triples they lie in.
+    assert got[b"a", b"b"] == 7 and got[b"d", b"a"] == 3
